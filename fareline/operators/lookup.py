@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def lookup(facts: DataFrame, table: DataFrame, on: str, key: str, **columns: str | Column) -> DataFrame:
+def lookup(facts: DataFrame, table: DataFrame, on: str, key: str, **columns: str) -> DataFrame:
     """Append ``columns`` (new name = column of ``table``) found by ``facts.on = table.key``.
 
     No broadcast hint: Spark broadcasts the table while its size is below
@@ -14,10 +14,9 @@ def lookup(facts: DataFrame, table: DataFrame, on: str, key: str, **columns: str
     execution splits a hot or null key over several tasks.
     """
     found = table.select(
-        F.col(key).alias("_found"),
-        *[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()],
+        F.col(key).alias(on), *[F.col(old).alias(new) for new, old in columns.items()]
     )
-    return facts.join(found, facts[on] == found["_found"], "left").drop("_found")
+    return facts.join(found, on, "left")
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:

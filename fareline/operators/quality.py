@@ -59,10 +59,15 @@ def check_rows(name: str, df: DataFrame, tests: TableTests) -> DataFrame:
     checks = row_checks(tests)
     counts = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(checks)])
     lines = [
-        F.struct(F.lit(name), F.lit(test), F.lit(column), F.col(f"c{i}"))
+        F.struct(
+            F.lit(name).alias("table_name"),
+            F.lit(test).alias("test"),
+            F.lit(column).alias("column_name"),
+            F.col(f"c{i}").alias("failures"),
+        )
         for i, (test, column, _) in enumerate(checks)
     ]
-    return counts.select(F.inline(F.array(*lines))).toDF("table_name", "test", "column_name", "failures")
+    return counts.select(F.inline(F.array(*lines)))
 
 
 def repeated_keys(df: DataFrame, column: str) -> DataFrame:

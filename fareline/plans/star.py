@@ -76,7 +76,7 @@ def stage_reference(name: str, ref: DataFrame) -> DataFrame:
 
 
 def stage_rides(enriched: DataFrame) -> DataFrame:
-    return enriched.select(*[F.col(c).alias(STAGED_RIDE_NAMES.get(c, c)) for c in STAGED_RIDE])
+    return enriched.select(*STAGED_RIDE).withColumnsRenamed(STAGED_RIDE_NAMES)
 
 
 @dataclass(frozen=True)
@@ -226,5 +226,5 @@ def fct_rides(
         computed[fact_key] = F.coalesce(fact_key, F.lit(S.UNKNOWN_KEY))
         computed |= {flag: F.coalesce(flag, F.lit(False)) for flag in flags}
     return rides.select(
-        *[computed.get(name, F.col(name)).alias(name) for name in FACT_COLUMNS]
+        *[computed[c].alias(c) if c in computed else c for c in FACT_COLUMNS]
     )

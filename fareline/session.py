@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # HotSpot never compiles methods above 8000 bytes. The wide ride stages exceed that
+    # when fused into one, so let Spark run those operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Dedup state lives in RocksDB, off the executor heap.
@@ -34,6 +37,8 @@ def local_session(cores: int = 8, app: str = "fareline", memory: str = "8g") ->
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
+        # Recording the call site of every column costs more than small plans do.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**SETTINGS, **STATE_STORE}.items():
         builder = builder.config(key, value)

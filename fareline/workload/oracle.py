@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fareline.schemas import REFERENCES
 from fareline.workload.rides import REFERENCE_ROWS, RIDES_SQL, reference_sql
 
 NOW = "timestamp '2026-08-01 18:00:30'"
@@ -14,8 +15,9 @@ def half_up(value: str, places: int) -> str:
 
 
 def settled(value: str, places: int = 6) -> str:
-    """An aggregate rounded so that the order of summation does not show."""
-    return f"round(cast({value} as double), {places})"
+    """An aggregate rounded so that the order of summation does not show: the noise goes
+    first, then a tie is a tie in every engine."""
+    return half_up(f"round(cast({value} as double), {places + 3})", places)
 
 
 def money(column: str) -> str:
@@ -411,25 +413,24 @@ def rolling(by: str = "") -> str:
 
 
 LOADED_TWICE = f"""
-, base as (select ride_id, date_key, ride_status_key, total_fare, _silver_processed_at as at from fact),
-first_load as (select * from base where at <= {LOADED_UNTIL}),
+, base as (select ride_id, date_key, ride_status_key, total_fare, _silver_processed_at as stamped from fact),
+first_load as (select * from base where stamped <= {LOADED_UNTIL}),
 again as (
     select ride_id, cast(date_key + 1 as date) as date_key, 1 as ride_status_key,
-        total_fare + 1 as total_fare, at + interval 2 day as at
+        total_fare + 1 as total_fare, stamped + interval 2 day as stamped
     from base where {NUMBER} % 7 = 0
 ),
 fresh as (
     select * from (select * from base union all select * from again)
-    where at > (select max(at) from first_load) - interval 1 hour
+    where stamped > (select max(stamped) from first_load) - interval 1 hour
 ),
-batch as (select * from fresh qualify row_number() over (partition by ride_id order by at desc) = 1),
+batch as (select * from fresh qualify row_number() over (partition by ride_id order by stamped desc) = 1),
 second as (
     select * from first_load where ride_id not in (select ride_id from batch)
     union all select * from batch
 )
 """
 
-SILVER_COLUMNS_LESS_INGEST = "* exclude (_ingested_at)"
 RESCUE_LINE = """
     select ride_id, k, case when k % 11 = 0 then 'mistyped' when k % 13 = 0 then 'unknown'
         when k % 17 = 0 then 'broken' else 'good' end as kind,
@@ -596,7 +597,7 @@ ORACLE: dict[str, str] = {
     "fct_upsert": BASE
     + LOADED_TWICE
     + f"""select ride_id, date_key, ride_status_key, {settled('total_fare', 2)} as total_fare,
-        at as _silver_processed_at from second""",
+        stamped as _silver_processed_at from second""",
     "schema_append": BASE
     + f"""select ride_id, date_key, total_fare,
         case when {NUMBER} % 5 <> 0 then fare_band end as fare_band,
@@ -642,6 +643,13 @@ ORACLE: dict[str, str] = {
     + f"""select ride_id, total_fare, cast(duration_minutes as bigint) as duration_minutes,
         case when {NUMBER} % 3 = 0 then concat('P', {NUMBER} % 7) end as promo_code,
         cast(null as varchar) as _rescued_data from rides""",
+    "manifest_landing": BASE
+    + """select 'bulk_rides' as folder_name, count(*) as lines, count(*) as rides
+            from rides where _source_system = 'bulk_file'"""
+    + "".join(
+        f" union all select '{ref.source}', count(*), 0 from {name}"
+        for name, ref in REFERENCES.items()
+    ),
     "end_to_end_kpi": BASE
     + f"""select _source_system, vehicle_type_key, {measured('total_rides', 'completed_rides',
         'cancelled_rides', 'total_revenue', 'avg_fare', 'rated_rides')} from fact group by all""",

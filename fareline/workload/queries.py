@@ -96,6 +96,13 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fct_rides(rides, dimensions(references(spark)), built_at=now())
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows from a table in shared storage, for work that reads them several times."""
+    path = scratch(df.sparkSession, purpose)
+    rebuild(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def calendar(spark: SparkSession) -> DataFrame:
     return dim_date(spark, today())
 
@@ -292,13 +299,15 @@ def staging_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_gold_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     dims = dimensions(references(spark))
-    tables = {**dims, "dim_date": calendar(spark), "fct_rides": fact(spark, sf_dir)}
+    rides = stored(fact(spark, sf_dir), "tested-fact")
+    tables = {**dims, "dim_date": calendar(spark), "fct_rides": rides}
     return run_tests(tables, audit.GOLD_TESTS)
 
 
 @query
 def dq_silver_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     rides = rides_enriched(silver_rides(spark, sf_dir), references(spark), ingest_time())
+    rides = stored(rides, "tested-rides")
     return run_tests({**references(spark), "rides_enriched": rides}, audit.SILVER_TESTS)
 
 
@@ -483,7 +492,7 @@ def corrected(rides: DataFrame) -> DataFrame:
 
 def loaded_twice(spark: SparkSession, sf_dir: str, purpose: str) -> KeyedTable:
     """A first load up to a moment, then one increment of later rides and corrections."""
-    rides = fact(spark, sf_dir)
+    rides = stored(fact(spark, sf_dir), f"{purpose}-source")
     target = fact_table(spark, purpose)
     target.merge(rides.where(F.col("_silver_processed_at") <= F.lit(LOADED_UNTIL).cast("timestamp")))
     source = rides.unionByName(corrected(rides))
@@ -515,7 +524,8 @@ def fct_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A merge whose batch brings a new column and lacks one of the target's."""
-    rides = fact(spark, sf_dir).select("ride_id", "date_key", "total_fare", "fare_band", "_silver_processed_at")
+    columns = ["ride_id", "date_key", "total_fare", "fare_band", "_silver_processed_at"]
+    rides = stored(fact(spark, sf_dir).select(*columns), "schema-append-source")
     target = fact_table(spark, "schema-append")
     target.merge(rides)
     promoted = rides.where(ride_number() % 5 == 0).withColumn("promo_code", F.concat(F.lit("P"), ride_number() % 3))
@@ -652,7 +662,8 @@ def manifest_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = land_all(spark, sf_dir, scratch(spark, "manifest-landing"))
     lines = spark.read.text(raw)
     return lines.groupBy("folder_name").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("characters")
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col("value").contains('"ride_id"')).alias("rides"),
     )
 
 

@@ -45,7 +45,8 @@ def reference_sql(name: str) -> str:
     return f"select {columns} from (values {REFERENCE_ROWS[name]}) as v({', '.join(types)})"
 
 
-# k is the order, c its customer, s its status. Everything after that is arithmetic.
+# k is the order, c its customer, s its status. Miles and surge are in hundredths, money is
+# in cents; adding 50 before cutting to whole hundreds rounds half up.
 RIDES_SQL = """
 with numbered as (
     select o_orderkey as k, o_custkey as c, o_orderstatus as s,
@@ -54,26 +55,29 @@ with numbered as (
     from {orders}
 ),
 drawn as (
-    select *,
-        cast(k % 6 + 1 as int) as vehicle_type_id,
-        cast(cast(k % 5001 as decimal(18,0)) / 100 as decimal(10,2)) as miles,
-        cast(5 + k % 116 as int) as minutes,
-        cast(cast(100 + k % 151 as decimal(18,0)) / 100 as decimal(10,2)) as surge,
+    select *, cast(k % 6 + 1 as int) as vehicle_type_id,
+        k % 5001 as miles, cast(5 + k % 116 as int) as minutes, 100 + k % 151 as surge,
         booked + (1 + k % 10) * interval 1 minute as picked_up
     from numbered
 ),
-priced as (
-    select d.*,
-        cast(coalesce(r.base_rate, 2.5) as decimal(10,2)) as base,
-        cast(round(miles * cast(coalesce(r.per_mile, 1.75) as decimal(10,2)), 2) as decimal(18,2)) as dist,
-        cast(round(minutes * cast(coalesce(r.per_minute, 0.35) as decimal(10,2)), 2) as decimal(18,2)) as time
+carded as (
+    select d.*, coalesce(cast(round(r.base_rate * 100) as bigint), 250) as base,
+        coalesce(cast(round(r.per_mile * 100) as bigint), 175) as mile,
+        coalesce(cast(round(r.per_minute * 100) as bigint), 35) as minute
     from drawn d left join ({cards}) r on d.vehicle_type_id = r.vehicle_type_id
 ),
+metered as (
+    select *, cast((miles * mile + 50 - (miles * mile + 50) % 100) / 100 as bigint) as dist,
+        minutes * minute as time
+    from carded
+),
+priced as (
+    select *, (base + dist + time) * surge + 50 as gross from metered
+),
 summed as (
     select *,
-        cast(round((base + dist + time) * surge, 2)
-            + case when k % 499 = 0 then 1 else 0 end as decimal(18,2)) as net,
-        cast(case when s = 'F' then k % 6 else 0 end as decimal(18,2)) as tip
+        cast((gross - gross % 100) / 100 as bigint) + case when k % 499 = 0 then 100 else 0 end as net,
+        case when s = 'F' then k % 6 * 100 else 0 end as tip
     from priced
 )
 select
@@ -106,19 +110,19 @@ select
     concat(cast(k % 700 as varchar(20)), ' Oak Avenue') as dropoff_address,
     cast(2500 + k % 2300 as double) / 100 as dropoff_latitude,
     cast(-12000 + k % 4600 as double) / 100 as dropoff_longitude,
-    cast(miles as double) as distance_miles,
+    cast(miles as double) / 100 as distance_miles,
     minutes as duration_minutes,
     booked as booking_timestamp,
     picked_up as pickup_timestamp,
     case when k % 997 = 0 then picked_up - interval 1 minute
          when s = 'F' then picked_up + minutes * interval 1 minute end as dropoff_timestamp,
-    cast(base as double) as base_fare,
-    cast(dist as double) as distance_fare,
-    cast(time as double) as time_fare,
-    cast(surge as double) as surge_multiplier,
-    cast(net as double) as subtotal,
-    cast(tip as double) as tip_amount,
-    cast(net + tip as double) as total_fare,
+    cast(base as double) / 100 as base_fare,
+    cast(dist as double) / 100 as distance_fare,
+    cast(time as double) / 100 as time_fare,
+    cast(surge as double) / 100 as surge_multiplier,
+    cast(net as double) / 100 as subtotal,
+    cast(tip as double) / 100 as tip_amount,
+    cast(net + tip as double) / 100 as total_fare,
     case when s = 'F' then nullif(cast(k % 6 as int), 0) end as rating,
     case when k % 2 = 0 then 'eventhub' else 'bulk_file' end as _source_system,
     booked + interval 2 minute as _ingested_at
@@ -160,21 +164,25 @@ def kafka_records(rides: DataFrame) -> DataFrame:
     """The live rides as topic records. Every tenth of them is sent again a minute later,
     and each thousandth brings an unreadable record along."""
     live = rides.where(F.col("_source_system") == S.LIVE_SOURCE)
-    number = F.substring("ride_id", 2, 20).cast("bigint")
     sent = live.select(
         "ride_id",
         payload(live).alias("payload"),
         F.col("booking_timestamp").alias("sent_at"),
-        number.alias("k"),
+        F.substring("ride_id", 2, 20).cast("bigint").alias("k"),
     )
-    again = sent.where("k % 20 = 0").withColumn("sent_at", F.expr("sent_at + interval 1 minute"))
-    broken = sent.where("k % 2000 = 0").withColumn("payload", F.lit("{bad"))
-    records = sent.unionByName(again).unionByName(broken)
-    return records.select(
+
+    def record(text: Column, at: Column) -> Column:
+        return F.struct(text.alias("payload"), at.alias("sent_at"))
+
+    text, at, k = F.col("payload"), F.col("sent_at"), F.col("k")
+    again = F.when(k % 20 == 0, record(text, at + F.expr("interval 1 minute")))
+    broken = F.when(k % 2000 == 0, record(F.lit("{bad"), at))
+    copies = F.array_compact(F.array(record(text, at), again, broken))
+    return sent.select("ride_id", "k", F.inline(copies)).select(
         F.col("ride_id").cast("binary").alias("key"),
         F.col("payload").cast("binary").alias("value"),
         F.lit("rides").alias("topic"),
-        (F.col("k") % 4).cast("int").alias("partition"),
-        F.col("k").alias("offset"),
+        (k % 4).cast("int").alias("partition"),
+        k.alias("offset"),
         F.col("sent_at").alias("timestamp"),
     )

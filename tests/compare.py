@@ -84,5 +84,5 @@ if __name__ == "__main__":
             else:
                 verdict = f"no SQL, {queries()[name](spark, sf_dir).count()} rows"
         except Exception as error:  # report and go on with the next query
-            verdict = f"{type(error).__name__}: {str(error)[:600]}"
+            verdict = f"{type(error).__name__}: {str(error).splitlines()[0][:500]}"
         print(f"{name:32} {time.time() - started:6.1f}s  {verdict}", flush=True)
