@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from fareline.operators.lookup import orphans
 
-REPORT_DDL = "table_name string, test string, column_name string, failures bigint"
-
 
 @dataclass(frozen=True)
 class TableTests:

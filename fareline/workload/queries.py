@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareline import schemas as S
-from fareline.functions.calendar import year_month
 from fareline.operators.expectations import enforce, tally
 from fareline.operators.lookup import lookup, orphans
 from fareline.operators.measures import measure, rides as ride_count, rounded, with_rides_last_24_hours
@@ -27,7 +26,7 @@ from fareline.operators.quality import TableTests, check_rows, freshness, repeat
 from fareline.operators.upsert import newer_than
 from fareline.operators.versions import first_per_key
 from fareline.plans import audit
-from fareline.plans.enrich import derived, enriched, rides_enriched
+from fareline.plans.enrich import derived, rides_enriched
 from fareline.plans.reference import checked_reference, current_reference, reference_tables
 from fareline.plans.staging import bulk_rides, live_rides, staged
 from fareline.plans.star import DIMENSIONS, ROLES, dim_date, dimensions, fct_rides, stage_rides

@@ -65,7 +65,7 @@ def differences(ours: pa.Table, theirs: pa.Table) -> str | None:
 
 
 def compare(spark, con, sf_dir: str, name: str) -> str | None:
-    theirs = con.execute(oracle_sql()[name]).to_arrow_table()
+    theirs = con.sql(oracle_sql()[name]).to_arrow_table()
     return differences(queries()[name](spark, sf_dir).toArrow(), theirs)
 
 
