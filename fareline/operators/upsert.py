@@ -17,14 +17,18 @@ def high_water(target: DataFrame, column: str) -> int:
     return target.agg(F.unix_micros(F.coalesce(F.max(column), start))).first()[0]
 
 
-def newer_than(source: DataFrame, target: DataFrame, column: str, look_back: str = LOOK_BACK) -> DataFrame:
-    """Source rows newer than the target's newest row less a margin.
+def look_back_bound(target: DataFrame, column: str, look_back: str = LOOK_BACK) -> Column:
+    """The instant after which source rows are taken: the target's newest less a margin.
 
-    The bound is computed first and enters the plan as a literal, so that it reaches
-    the file scan.
+    It is computed first and returned as a literal, so that filters on it reach the scan.
     """
     newest = F.timestamp_micros(F.lit(high_water(target, column)))
-    return source.where(F.col(column) > newest - F.expr(f"interval {look_back}"))
+    return newest - F.expr(f"interval {look_back}")
+
+
+def newer_than(source: DataFrame, target: DataFrame, column: str, look_back: str = LOOK_BACK) -> DataFrame:
+    """Source rows newer than the target's newest row less the margin."""
+    return source.where(F.col(column) > look_back_bound(target, column, look_back))
 
 
 def keep_newest(batch: DataFrame, key: str, newest: Sequence[Column]) -> DataFrame:

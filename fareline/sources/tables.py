@@ -67,13 +67,20 @@ class StreamTable:
             raise ValueError(f"{flow} is not a flow of {self.root}; it has {self.flows}")
         return flow
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Everything committed so far, over all flows that have started."""
+    def read(self, spark: SparkSession, since: Column | None = None) -> DataFrame:
+        """Everything committed so far, over all flows that have started.
+
+        With ``since``, files last modified more than a day before it are not opened: a
+        row is stamped before its file is written, and the day covers uneven clocks.
+        """
         reader = spark.read.schema(self.ddl).option("recursiveFileLookup", "true")
         loaded = [or_none(lambda f=flow: reader.parquet(self.data(f))) for flow in self.flows]
         started = [df for df in loaded if df is not None]
         if not started:
             raise ValueError(f"no flow has written to {self.root} yet")
+        if since is not None:
+            oldest = since - F.expr("interval 1 day")
+            started = [df.where(F.col("_metadata.file_modification_time") > oldest) for df in started]
         return reduce(DataFrame.unionByName, started)
 
     def stream(self, spark: SparkSession, flow: str = "main", max_files: int | None = None) -> DataFrame:

@@ -18,17 +18,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fareline import schemas as S
 from fareline.operators.expectations import enforce
+from fareline.operators.upsert import look_back_bound
 from fareline.plans.enrich import enriched, rides_enriched
 from fareline.plans.staging import bulk_rides, live_rides, staged
+from fareline.plans.star import dimensions, fct_rides, stage_rides
 from fareline.session import STATE_STORE
 from fareline.sources.json_files import bronze_files, evolve, infer_schema, stream_lines
 from fareline.sources.kafka import bronze_rides
-from fareline.sources.tables import StreamTable, or_none
+from fareline.sources.tables import KeyedTable, StreamTable, or_none
 
 CATCH_UP: Mapping[str, object] = {"availableNow": True}
 LINE_DDL = (
     "value string, _metadata struct<file_path: string, file_modification_time: timestamp>"
 )
+PROCESSED = "_silver_processed_at"
 LIVE, BULK = "flow_stream_rides", "flow_bulk_rides"
 
 
@@ -124,6 +127,24 @@ def start_enrich(
     )
 
 
+def load_fact(
+    spark: SparkSession, root: str, refs: Callable[[], Mapping[str, DataFrame]], target: KeyedTable
+) -> int:
+    """Merge enriched rides into the fact: all of them first, afterwards the new ones and
+    those of the look-back. Running it again changes nothing. Returns the version."""
+    silver = enriched_table(spark, root)
+    if target.version(spark):
+        bound = look_back_bound(target.read(spark), PROCESSED)
+        rides = silver.read(spark, since=bound).where(F.col(PROCESSED) > bound)
+    else:
+        rides = silver.read(spark)
+    return target.merge(fct_rides(stage_rides(rides), dimensions(refs())))
+
+
+def fact_table(root: str) -> KeyedTable:
+    return KeyedTable(f"{root}/gold/fct_rides", "ride_id", "date_key", (PROCESSED,))
+
+
 @dataclass(frozen=True)
 class FileTable:
     """A bronze table over a JSON folder whose columns grow with the files.

@@ -688,8 +688,7 @@ def end_to_end_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for flow in (flows.LIVE, flows.BULK):
         flows.start_enrich(spark, root, flow, refs).awaitTermination()
-    rides = stage_rides(flows.enriched_table(spark, root).read(spark))
-    target = KeyedTable(f"{root}/gold/fct_rides", "ride_id", "date_key", ("_silver_processed_at",))
-    target.merge(fct_rides(rides, dimensions(refs())))
+    target = flows.fact_table(root)
+    flows.load_fact(spark, root, refs, target)
     names = ["total_rides", "completed_rides", "cancelled_rides", "total_revenue", "avg_fare", "rated_rides"]
     return rounded(measure(target.read(spark), names, ["_source_system", "vehicle_type_key"]))

@@ -167,3 +167,35 @@ def test_corrected_references_apply_from_the_next_batch(spark, topic, root):
     assert sum(c["rows"] for c in reports) == 2 and all(c["positive_distance"] == 0 for c in reports)
     staging = flows.staging_table(root).read(spark)
     assert rides.columns == rides_enriched(staging, references(spark)).columns
+
+
+def test_fact_grows_by_increments(spark, topic, root):
+    """Later batches add rides; running the load again changes nothing."""
+
+    def arrive(*events):
+        topic.send(*events)
+        to_bronze(topic, root)
+        to_staging(spark, root)
+        flows.start_enrich(spark, root, flows.LIVE, lambda: references(spark)).awaitTermination()
+
+    def load():
+        flows.load_fact(spark, root, lambda: references(spark), target)
+        return sorted((r.ride_id, r.total_fare, r.pickup_city_key) for r in target.read(spark).collect())
+
+    target = flows.fact_table(root)
+    arrive(("a", "10:00"), ("b", "10:01"))
+    assert load() == [("a", 33.55, 1), ("b", 33.55, 1)]
+    assert load() == [("a", 33.55, 1), ("b", 33.55, 1)]
+    arrive(("c", "10:02"), ("a", "10:03"))
+    corrected = json.dumps({**EVENT, "ride_id": "b", "total_fare": 40.0})
+    arrive((corrected, "11:00"), ("d", "11:00"))
+    arrive((corrected, "12:00"))  # past the horizon: passes the dedup as a newer version
+    assert load() == [("a", 33.55, 1), ("b", 40.0, 1), ("c", 33.55, 1), ("d", 33.55, 1)]
+
+
+def test_increments_skip_old_files(spark, topic, root):
+    topic.send(("a", "10:00"))
+    to_bronze(topic, root)
+    table = flows.bronze_rides_table(root)
+    assert table.read(spark, since=F.current_timestamp()).count() == 1
+    assert table.read(spark, since=F.current_timestamp() + F.expr("interval 2 day")).count() == 0
