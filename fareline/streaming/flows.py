@@ -61,8 +61,7 @@ def append(
     for key, value in STATE_STORE.items():
         df.sparkSession.conf.set(key, value)
     return (
-        df.writeStream.queryName(f"{table.root.rsplit('/', 1)[-1]}.{flow}.{id(df):x}")
-        .format("parquet")
+        df.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", table.checkpoint(flow))
         .trigger(**trigger)
@@ -76,11 +75,26 @@ def start_bronze_rides(records: DataFrame, root: str, **options) -> StreamingQue
 
 
 def start_live_staging(
-    spark: SparkSession, root: str, max_files: int | None = None, combine: bool = False, **options
+    spark: SparkSession,
+    root: str,
+    max_files: int | None = None,
+    combine: bool = False,
+    state_partitions: int | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Bronze events to staging: parse, drop repeats within the horizon, apply constraints."""
+    """Bronze events to staging: parse, drop repeats within the horizon, apply constraints.
+
+    ``state_partitions`` fixes over how many tasks the dedup state spreads. It counts at
+    the flow's first start only; by default the session's shuffle partitions apply.
+    """
     bronze = bronze_rides_table(root).stream(spark, max_files=max_files)
-    return append(staged(live_rides(bronze, combine), LIVE), staging_table(root), LIVE, **options)
+    rides = staged(live_rides(bronze, combine), LIVE)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or usual))
+    try:
+        return append(rides, staging_table(root), LIVE, **options)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
 
 
 def start_bulk_staging(

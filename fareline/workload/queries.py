@@ -567,7 +567,8 @@ def topic_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
 
 def stage_live(spark: SparkSession, sf_dir: str, root: str) -> None:
     flows.start_bronze_rides(topic_files(spark, sf_dir, root), root).awaitTermination()
-    flows.start_live_staging(spark, root).awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    flows.start_live_staging(spark, root, state_partitions=cores).awaitTermination()
 
 
 def stage_bulk(spark: SparkSession, root: str, folder: str) -> None:
