@@ -29,7 +29,15 @@ from fareline.plans import audit
 from fareline.plans.enrich import derived, rides_enriched
 from fareline.plans.reference import checked_reference, current_reference, reference_tables
 from fareline.plans.staging import bulk_rides, live_rides, staged
-from fareline.plans.star import DIMENSIONS, ROLES, dim_date, dimensions, fct_rides, stage_rides
+from fareline.plans.star import (
+    DIMENSIONS,
+    ROLES,
+    dim_date,
+    dimension,
+    dimensions,
+    fct_rides,
+    stage_rides,
+)
 from fareline.session import prepare, scratch
 from fareline.sources.json_files import parse
 from fareline.sources.kafka import bronze_rides
@@ -95,6 +103,10 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fct_rides(rides, dimensions(references(spark)), built_at=now())
 
 
+def one_dimension(spark: SparkSession, name: str) -> DataFrame:
+    return dimension(name, spark.sql(reference_sql(DIMENSIONS[name].ref)))
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows from a table in shared storage, for work that reads them several times."""
     path = scratch(df.sparkSession, purpose)
@@ -111,7 +123,7 @@ def calendar(spark: SparkSession) -> DataFrame:
 
 @query
 def revenue_by_city_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    city = dimensions(references(spark))["dim_city"]
+    city = one_dimension(spark, "dim_city")
     rides = lookup(fact(spark, sf_dir), city, "pickup_city_key", "city_key", city_name="city_name")
     dated = rides.join(calendar(spark).select("date_key", "year_month_number"), "date_key")
     names = ["total_rides", "completed_rides", "total_revenue", "completed_revenue", "avg_fare"]
@@ -160,7 +172,7 @@ def dimension_profile(name: str) -> Query:
     roles = [key for key, (_, dim) in ROLES.items() if dim == name]
 
     def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rides, members = fact(spark, sf_dir), dimensions(references(spark))[name]
+        rides, members = fact(spark, sf_dir), one_dimension(spark, name)
         for key in roles:
             role = key.removesuffix("_key")
             used = rides.groupBy(key).agg(
@@ -401,7 +413,7 @@ def kpi_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_by_vehicle_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    types = dimensions(references(spark))["dim_vehicle_type"]
+    types = one_dimension(spark, "dim_vehicle_type")
     columns = {"vehicle_type_name": "vehicle_type_name", "tier_rank": "tier_rank"}
     rides = lookup(fact(spark, sf_dir), types, "vehicle_type_key", "vehicle_type_key", **columns)
     return rounded(measure(rides, by=["vehicle_type_name", "tier_rank"]))
@@ -415,7 +427,7 @@ def kpi_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def kpi_by_city_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two roles of the city dimension side by side."""
-    city = dimensions(references(spark))["dim_city"]
+    city = one_dimension(spark, "dim_city")
     rides = lookup(fact(spark, sf_dir), city, "pickup_city_key", "city_key", pickup_city="city_name")
     rides = lookup(rides, city, "dropoff_city_key", "city_key", dropoff_city="city_name")
     names = ["total_rides", "total_revenue", "total_miles", "total_hours", "intercity_share"]

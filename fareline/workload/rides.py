@@ -143,7 +143,7 @@ def silver_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rides in the silver shape, live ones and bulk ones."""
     text = RIDES_SQL.replace("{cards}", reference_sql("ref_vehicle_types"))
     rides = spark.sql(text, orders=table(spark, sf_dir, "orders"))
-    return rides.select(*[F.col(c).cast(kind).alias(c) for c, kind in S.SILVER_RIDE_TYPES.items()])
+    return rides.selectExpr(*[f"cast({c} as {kind}) as {c}" for c, kind in S.SILVER_RIDE_TYPES.items()])
 
 
 def iso(time: Column) -> Column:
