@@ -2,15 +2,61 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fareline.llm.common import durable
+from fareline.llm.language import fit_languages, identify
+from fareline.llm.packing import pack_documents
+from fareline.llm.pii import sanitise
+from fareline.llm.simhash import group_near_copies
+from fareline.llm.toxicity import fit_toxicity, score_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with enough confidence; the others go."""
+    return identify(docs, fit_languages(docs)).where("lang_accepted").select(docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain's last link doesn't flag; the model learns from the labels."""
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_toxicity(docs, model).where("not is_toxic").select(docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group; of rows that repeat it, one.
+
+    Rows without an id can't be told apart, and stay.
+    """
+    found = group_near_copies(docs.where("doc_id is not null"))
+    first = found.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
+
+
+def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data and revealing terms replaced in their texts."""
+    return sanitise(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of at most 4096 tokens."""
+    return pack_documents(docs, importlib.import_module("public_tokenizers").path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", keep_known_languages),
+    ("toxicity", drop_toxic),
+    ("near copies", keep_one_of_near_copies),
+    ("personal data", remove_personal_data),
+    ("packing", pack),
+]
 
 #: Trained models and packing can't be said in SQL.
 ORACLE_SQL = None

@@ -39,7 +39,7 @@ def map_columns(
     """
     spark = df.sparkSession
     names = spark.createDataFrame([], schema).columns
-    wanted = [F.col(name) for name in read]
+    wanted = [F.col(f"`{name}`") for name in read]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -96,11 +96,10 @@ def components(edges: DataFrame) -> DataFrame:
         joined = large.join(smallest, "u")
         small = joined.select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
         now = durable(small.select("e.u", F.col("e.m").alias("v")).where("u <> v").distinct())
-        roots = now.select("v").distinct()
-        if now.join(roots, now["u"] == roots["v"], "left_semi").isEmpty() and _one_root(now):
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                roots.select(F.col("v").alias("node"), F.col("v").alias("root"))
-            )
+        roots = now.select(F.col("v").alias("root")).distinct()
+        if now.join(roots, F.col("u") == F.col("root"), "left_semi").isEmpty() and _one_root(now):
+            itself = roots.select(F.col("root").alias("node"), "root")
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(itself)
         links = now
 
 

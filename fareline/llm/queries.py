@@ -8,47 +8,94 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fareline.llm.common import read_table
+from fareline.llm.embedding_dedup import link_vectors
+from fareline.llm.language import fit_languages, held_out, identify
+from fareline.llm.licenses import scan_licenses
+from fareline.llm.packing import pack_documents
+from fareline.llm.pieces import encode_digest
+from fareline.llm.pii import disclosing_spans, span_digest
+from fareline.llm.sharding import shard_rows
+from fareline.llm.simhash import group_near_copies
+from fareline.llm.topk import top_products
+from fareline.llm.toxicity import fit_toxicity, score_toxicity
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _tokenizer(name: str) -> str:
     return importlib.import_module("public_tokenizers").path(name)
 
 
-def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[f.__name__] = f
-    return f
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.93."""
+    return link_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and revealing terms of every document."""
+    return span_digest(disclosing_spans(read_table(spark, sf_dir, "documents")))
+
+
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best scores of every twentieth vector against all others."""
+    return top_products(read_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
 
-@_query
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and its round trip, as digests."""
-    from fareline.llm.pieces import encode_digest
-
     return encode_digest(read_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
-@_query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that aren't held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = identify(docs.select("doc_id", "text"), fit_languages(docs))
+    return found.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", found["lang_score"].alias("score"), "lang_accepted"
+    )
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, category by category."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return score_toxicity(docs.select("doc_id", "text"), model).drop("text")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of at most 4096 tokens."""
-    from fareline.llm.packing import pack_documents
-
     return pack_documents(read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
-@_query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of near copies of every document."""
+    return group_near_copies(read_table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes, equal texts together."""
-    from fareline.llm.sharding import shard_rows
-
     return shard_rows(read_table(spark, sf_dir, "documents"))
 
 
-@_query
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
-    from fareline.llm.licenses import scan_licenses
-
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("notices")
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_embedding_dedup,
+        op2_pii,
+        op3_topk,
+        op4_sentencepiece,
+        op5_language,
+        op6_toxicity,
+        op7_packing,
+        op8_simhash,
+        op9_sharding,
+        op10_licenses,
+    )
+}
+
+ORACLE: dict[str, str] = {}
