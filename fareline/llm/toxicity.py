@@ -30,11 +30,11 @@ TOXIC = "toxic"
 
 #: The training sample: documents of either label and bytes of a document; longer ones
 #: are left out of the sample, never cut.
-POSITIVE, NEGATIVE, LONGEST = 3000, 5000, 30_000
+POSITIVE, NEGATIVE, LONGEST = 2000, 3000, 30_000
 #: Features: documents that must hold one, how many are chosen, lengths of beginnings.
-LEAST_DOCS, FEATURES, BEGINNINGS = 5, 3000, (4, 5, 6, 7)
+LEAST_DOCS, FEATURES, BEGINNINGS = 5, 1500, (4, 5, 6, 7)
 FOLDS = 5
-ROUNDS = 300
+ROUNDS = 120
 PENALTY = 1.0
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -51,11 +51,10 @@ class ToxicityModel:
     features: dict[str, int]
     links: list[tuple[str, np.ndarray, float]] = field(default_factory=list)
     threshold: float = 0.5
-    lengths: frozenset[int] = frozenset()
 
     def present(self, text: str) -> list[int]:
         """Numbers of the features that occur in the whole text."""
-        words, get = set(_WORD.findall(text.lower())), self.features.get
+        words, get = _words(text), self.features.get
         found = {n for w in words if (n := get(w)) is not None}
         for size in BEGINNINGS:
             starts = {w[:size] for w in words if len(w) > size}
@@ -89,11 +88,15 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     return weights, bias
 
 
-def _choose(words: list[set[str]], y: np.ndarray) -> dict[str, int]:
+def _words(text: str) -> set[str]:
+    return set(_WORD.findall(text.lower()))
+
+
+def _choose(texts: list[str], y: np.ndarray) -> dict[str, int]:
     """The features whose documents differ most in the label (chi-squared)."""
     seen, toxic = Counter(), Counter()
-    for found, label in zip(words, y, strict=True):
-        every = {f for w in found for f in word_features(w)}
+    for text, label in zip(texts, y, strict=True):
+        every = {f for w in _words(text) for f in word_features(w)}
         seen.update(every)
         if label:
             toxic.update(every)
@@ -107,16 +110,17 @@ def _choose(words: list[set[str]], y: np.ndarray) -> dict[str, int]:
 def train(texts: list[str], toxic: list[int]) -> ToxicityModel:
     """The chain, and the threshold that does best on out-of-fold probabilities."""
     y = np.array(toxic, dtype=np.float32)
-    words = [set(_WORD.findall(t.lower())) for t in texts]
     if len(y) < FOLDS or y.min() == y.max():
         return ToxicityModel({}, [(TOXIC, np.zeros(0, np.float32), -50.0)])
-    model = ToxicityModel(_choose(words, y))
+    model = ToxicityModel(_choose(texts, y))
     x = np.zeros((len(texts), len(model.features)), np.float32)
     for i, text in enumerate(texts):
         x[i, model.present(text)] = 1
     fold = np.arange(len(y)) % FOLDS
-    labels = {name: y * np.array([not w.isdisjoint(seeds) for w in words]) for name, seeds in CATEGORIES.items()}
-    earlier, earlier_all = np.zeros((len(y), 0), np.float32), np.zeros((len(y), 0), np.float32)
+    labels = {
+        name: y * np.array([not _words(t).isdisjoint(seeds) for t in texts]) for name, seeds in CATEGORIES.items()
+    }
+    earlier = np.zeros((len(y), 0), np.float32)
     for name, target in [*labels.items(), (TOXIC, y)]:
         if target.sum() < FOLDS and name != TOXIC:
             continue
