@@ -4,48 +4,74 @@ The fact is aggregated to days first. Each daily amount is then credited to ever
 calendar date that must see it (the rest of its month, the next six days, the same
 day next month), and credits are summed per date. Dates without rides get their
 value too, every step aggregates map-side, and no window ever gathers a group.
+
+Days are added up, so an amount must be additive: a sum or a count. A ratio is given as
+its additive parts and an expression over their names, which is evaluated last. Rides off
+the calendar, or without a date, have no row here as no date shows them; measures without
+a calendar count them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def daily(fact: DataFrame, amount: Column, by: Sequence[str] = (), day: str = "date_key") -> DataFrame:
+Amount = Column | tuple[Mapping[str, Column], Column]
+
+_NOT_ADDITIVE = re.compile(r"\b(avg|mean|min|max|median|mode|percentile\w*|std\w*|var\w*|approx\w*)\(|distinct", re.I)
+
+
+def additive(amount: Amount) -> tuple[dict[str, Column], Column]:
+    """The parts that are added up over days, and what is made of their sums."""
+    parts, final = ({"amount": amount}, F.col("amount")) if isinstance(amount, Column) else amount
+    for name, part in parts.items():
+        if _NOT_ADDITIVE.search(str(part)):
+            raise ValueError(f"{name} can't be added up over days: {part}; give its additive parts")
+    return dict(parts), final
+
+
+def daily(
+    fact: DataFrame, parts: Mapping[str, Column], by: Sequence[str] = (), day: str = "date_key"
+) -> DataFrame:
     """One row per group and day that has rides."""
     dated = fact.where(F.col(day).isNotNull())
-    return dated.groupBy(*by, F.col(day).alias("day")).agg(amount.alias("amount"))
+    return dated.groupBy(*by, F.col(day).alias("day")).agg(*[c.alias(name) for name, c in parts.items()])
 
 
 def credit(
-    days: DataFrame, calendar: DataFrame, until: Callable[[Column], Column], by: Sequence[str], name: str
+    fact: DataFrame,
+    calendar: DataFrame,
+    amount: Amount,
+    until: Callable[[Column], Column],
+    by: Sequence[str],
+    name: str,
 ) -> DataFrame:
     """Sum each daily amount into its own date and all following ones through ``until(day)``."""
+    parts, final = additive(amount)
     day = F.col("day")
-    spread = days.select(
-        *by, F.explode(F.sequence(day, until(day))).alias("date_key"), "amount"
+    spread = on_calendar(daily(fact, parts, by), calendar).select(
+        *by, F.explode(F.sequence(day, until(day))).alias("date_key"), *parts
     )
-    summed = spread.groupBy(*by, "date_key").agg(F.sum("amount").alias(name))
-    return summed.join(calendar.select("date_key"), "date_key", "left_semi")
+    summed = spread.groupBy(*by, "date_key").agg(*[F.sum(part).alias(part) for part in parts])
+    return summed.select(*by, "date_key", final.alias(name)).join(calendar.select("date_key"), "date_key", "left_semi")
 
 
 def month_to_date(
-    fact: DataFrame, calendar: DataFrame, amount: Column, name: str, by: Sequence[str] = ()
+    fact: DataFrame, calendar: DataFrame, amount: Amount, name: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """Running total from the first of the month through each calendar date."""
-    listed = on_calendar(daily(fact, amount, by), calendar)
-    return credit(listed, calendar, F.last_day, by, name)
+    return credit(fact, calendar, amount, F.last_day, by, name)
 
 
 def rolling_days(
-    fact: DataFrame, calendar: DataFrame, amount: Column, days: int, name: str, by: Sequence[str] = ()
+    fact: DataFrame, calendar: DataFrame, amount: Amount, days: int, name: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """Total of the last ``days`` days, the date itself included."""
-    listed = on_calendar(daily(fact, amount, by), calendar)
-    return credit(listed, calendar, lambda day: F.date_add(day, days - 1), by, name)
+    return credit(fact, calendar, amount, lambda day: F.date_add(day, days - 1), by, name)
 
 
 def on_calendar(days: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -54,17 +80,19 @@ def on_calendar(days: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def month_over_month(
-    fact: DataFrame, calendar: DataFrame, amount: Column, by: Sequence[str] = ()
+    fact: DataFrame, calendar: DataFrame, amount: Amount, by: Sequence[str] = ()
 ) -> DataFrame:
     """Current and prior month per calendar month, and the relative change.
 
     A month appears if it or the month before has rides. The change is null where
     there is no prior month, and -1 where a month without rides follows one with.
     """
+    parts, final = additive(amount)
     first = F.trunc("day", "month")
-    months = on_calendar(daily(fact, amount, by), calendar).groupBy(
+    sums = on_calendar(daily(fact, parts, by), calendar).groupBy(
         *by, first.alias("first_day_of_month")
-    ).agg(F.sum("amount").alias("amount"))
+    ).agg(*[F.sum(part).alias(part) for part in parts])
+    months = sums.select(*by, "first_day_of_month", final.alias("amount"))
     ahead = F.add_months("first_day_of_month", 1).alias("first_day_of_month")
     # Two credits of one amount: to its own month, and as prior of the next.
     both = months.select(*by, "first_day_of_month", F.col("amount").alias("current")).unionByName(
@@ -79,9 +107,10 @@ def month_over_month(
 
 
 def same_day_prior_month(
-    fact: DataFrame, calendar: DataFrame, amount: Column, name: str, by: Sequence[str] = ()
+    fact: DataFrame, calendar: DataFrame, amount: Amount, name: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """Amount of the same day one month earlier, or of that month's last day if it is shorter."""
     looks_at = calendar.select("date_key", F.add_months("date_key", -1).alias("day"))
-    listed = on_calendar(daily(fact, amount, by), calendar)
-    return listed.join(looks_at, "day").select(*by, "date_key", F.col("amount").alias(name))
+    parts, final = additive(amount)
+    listed = on_calendar(daily(fact, parts, by), calendar)
+    return listed.join(looks_at, "day").select(*by, "date_key", final.alias(name))

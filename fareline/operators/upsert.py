@@ -51,6 +51,18 @@ def append_columns(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, Data
     return shaped(target, have), shaped(batch, comes)
 
 
+def changed_rows(target: DataFrame, batch: DataFrame, key: str, unset: Sequence[str] = ()) -> DataFrame:
+    """Batch rows that are new or differ from the target's row of their key.
+
+    Columns in ``unset`` are not compared. ``batch`` must hold one row per key.
+    """
+    old, new = append_columns(target, batch)
+    compared = [c for c in new.columns if c not in unset]
+    here, there = F.struct(*[F.col(f"new.{c}") for c in compared]), F.struct(*[F.col(f"old.{c}") for c in compared])
+    same = (F.col(f"new.{key}") == F.col(f"old.{key}")) & here.eqNullSafe(there)
+    return new.alias("new").join(old.alias("old"), same, "left_anti").select(*batch.columns)
+
+
 def merge_rows(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """The target after the merge: batch rows replace those with their key, the rest are added.
 

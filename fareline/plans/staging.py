@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ def thin_repeats(rides: DataFrame, key: str = "ride_id") -> DataFrame:
 
     def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.table({"key": batch.column(key), "row": pa.array(range(batch.num_rows))})
+            table = pa.table({"key": batch.column(key), "row": pa.array(np.arange(batch.num_rows))})
             named = table.filter(table["key"].is_valid()).group_by("key").aggregate([("row", "min")])
             unnamed = table.filter(table["key"].is_null())["row"]
             rows = pa.chunked_array([*named["row_min"].chunks, *unnamed.chunks], pa.int64())
@@ -63,13 +64,17 @@ def thin_repeats(rides: DataFrame, key: str = "ride_id") -> DataFrame:
     return rides.mapInArrow(first_rows, rides.schema)
 
 
-def live_rides(bronze: DataFrame, combine: bool = False) -> DataFrame:
+def live_rides(bronze: DataFrame, combine: bool = False, arrived: str | None = None) -> DataFrame:
     """Rides of the event stream, one per ``ride_id`` within the dedup horizon.
 
     Rows without an id can never pass the drop rule after the dedup. They leave before
-    it, or they would all meet in one state entry of one task.
+    it, or they would all meet in one state entry of one task. With ``arrived``, rows and
+    violations of that rule are counted under this name before they leave.
     """
     rides = parsed(bronze)
+    if arrived:
+        unnamed = F.count_if(F.col("ride_id").isNull()).alias("valid_ride_id")
+        rides = rides.observe(arrived, F.count(F.lit(1)).alias("rows"), unnamed)
     if combine:
         rides = thin_repeats(rides)
     if rides.isStreaming:

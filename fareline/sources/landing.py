@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST_DDL = "folder_name string, file_name string"
 
+#: Entries of one manifest; a larger one is an error, not a shorter landing.
+MOST_ENTRIES = 100_000
+
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The manifest's entries. Folder names lose the trailing dots some entries carry,
@@ -15,27 +21,40 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return entries.select(F.rtrim("folder_name", F.lit(".")).alias("folder_name"), "file_name")
 
 
+def escaped(path: str) -> str:
+    """A path that readers take literally."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def land(spark: SparkSession, manifest: DataFrame, source: str, raw: str) -> None:
-    """Copy every listed file from ``source`` to ``raw/folder_name=<folder>`` in one job.
+    """Copy every listed file from ``source`` to ``raw/folder_name=<folder>/file_name=<name>``.
 
-    A listed name may be a file or a folder of part files. Files travel line by line,
-    so a large one is split over tasks. A folder landed again is replaced; folders not
-    in the manifest stay. A listed file that does not exist fails the job.
+    A listed name is relative to ``source``, may lie in sub-folders, and may be a file or
+    a folder of part files. Files travel line by line, so a large one is split over tasks.
+    A folder landed again is replaced, also by nothing if its files are empty now; folders
+    not in the manifest stay. A listed file that does not exist fails the job before its
+    folder is touched. One job per folder; the driver holds the manifest, which is limited.
     """
+    entries = manifest.distinct().limit(MOST_ENTRIES + 1).collect()
+    if len(entries) > MOST_ENTRIES:
+        raise ValueError(f"the manifest lists more than {MOST_ENTRIES} files; split it")
+    folders = defaultdict(list)
+    for entry in entries:
+        folders[entry.folder_name].append(entry.file_name.strip("/"))
     root = source.rstrip("/") + "/"
-    # Driver side: file names only, one short string per file to copy.
-    names = [row.file_name for row in manifest.select("file_name").distinct().toLocalIterator()]
-    below_root = F.substring_index("_metadata.file_path", root, -1)
-    lines = spark.read.text([root + name for name in names]).select(
-        "value", F.split_part(below_root, F.lit("/"), F.lit(1)).alias("file_name")
-    )
-    landed = lines.join(manifest, "file_name").select("value", "folder_name")
-    (
-        landed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("folder_name")
-        .text(raw)
-    )
+    # Where the listed name starts in a file's path, which is percent-encoded and may name
+    # the file system in another way.
+    tail = "/" + re.sub(r"^[A-Za-z0-9+.-]+:/+", "", root).lstrip("/")
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    below = F.substring(path, F.locate(tail, path) + len(tail), F.length(path))
+    depth = F.size(F.split(F.col("below"), "/"))
+    parents = F.transform(F.sequence(F.lit(1), depth), lambda n: F.array_join(F.slice(F.split("below", "/"), 1, n), "/"))
+    for folder, names in sorted(folders.items()):
+        reader = spark.read.option("recursiveFileLookup", "true")
+        lines = reader.text([escaped(root + name) for name in sorted(names)]).select("value", below.alias("below"))
+        listed = F.filter(parents, lambda parent: parent.isin(names))
+        landed = lines.select("value", F.element_at(listed, 1).alias("file_name"))
+        landed.write.mode("overwrite").partitionBy("file_name").text(landed_folder(raw, folder))
 
 
 def landed_folder(raw: str, folder: str) -> str:

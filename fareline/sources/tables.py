@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareline.functions.calendar import year_month
-from fareline.operators.upsert import keep_newest, merge_rows, table_changes
+from fareline.operators.upsert import changed_rows, keep_newest, merge_rows, table_changes
+from fareline.sources.json_files import MAX_FILE_AGE
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -67,24 +68,17 @@ class StreamTable:
             raise ValueError(f"{flow} is not a flow of {self.root}; it has {self.flows}")
         return flow
 
-    def read(self, spark: SparkSession, since: Column | None = None) -> DataFrame:
-        """Everything committed so far, over all flows that have started.
-
-        With ``since``, files last modified more than a day before it are not opened: a
-        row is stamped before its file is written, and the day covers uneven clocks.
-        """
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Everything committed so far, over all flows that have started."""
         reader = spark.read.schema(self.ddl).option("recursiveFileLookup", "true")
         loaded = [or_none(lambda f=flow: reader.parquet(self.data(f))) for flow in self.flows]
         started = [df for df in loaded if df is not None]
         if not started:
             raise ValueError(f"no flow has written to {self.root} yet")
-        if since is not None:
-            oldest = since - F.expr("interval 1 day")
-            started = [df.where(F.col("_metadata.file_modification_time") > oldest) for df in started]
         return reduce(DataFrame.unionByName, started)
 
     def stream(self, spark: SparkSession, flow: str = "main", max_files: int | None = None) -> DataFrame:
-        reader = spark.readStream.schema(self.ddl)
+        reader = spark.readStream.schema(self.ddl).option("maxFileAge", MAX_FILE_AGE)
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.data(flow))
@@ -96,14 +90,17 @@ class KeyedTable:
 
     A merge rewrites only the months that hold a key of the batch, into a new
     directory. It becomes visible when a small snapshot file naming the directory of
-    every month is added, so a job that dies half-way changes nothing. One writer at
-    a time is assumed. Formats with row-level changes use ``upsert.merge_into``.
+    every month is added, so a job that dies half-way changes nothing. One writer at a
+    time is assumed; one that finds its version published by another fails. Batch rows
+    that equal the table's in all but the ``unset`` columns change nothing. Formats with
+    row-level changes use ``upsert.merge_into``.
     """
 
     root: str
     key: str
     day: str
     newest: tuple[str, ...]
+    unset: tuple[str, ...] = ()
 
     def _path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -140,28 +137,23 @@ class KeyedTable:
         """Merge the newest batch row of each key and return the table's version."""
         spark = batch.sparkSession
         version = self.version(spark)
-        newest = keep_newest(batch, self.key, [F.col(c).desc_nulls_last() for c in self.newest])
-        # The batch is used three times below: compute it once, in shared storage.
-        staged_path = self._path("batches", f"version={version + 1}")
-        newest.withColumn("month", self._month()).write.mode("overwrite").parquet(staged_path)
-        staged = spark.read.parquet(staged_path)
-        touched = {row.month for row in staged.select("month").distinct().collect()}
-        if not touched:
-            return version
-
-        kept, rows = {}, staged.drop("month")
+        # Equal stamps are settled by all other columns, so a retry keeps the same row.
+        others = F.struct(*[c for c in batch.columns if c not in (*self.newest, *self.unset)])
+        order = [*[F.col(c).desc_nulls_last() for c in self.newest], others.desc()]
+        # The batch is used several times below: compute it once, in shared storage.
+        staged = self._staged(keep_newest(batch, self.key, order), "arrived", version + 1)
+        kept, rows = {}, staged
         if version:
             months, schema = self.layout(spark, version)
-            # An update can move a row to another month: look up where the keys are now.
-            homes = (
-                self._load(spark, months, schema)
-                .select(self.key, self._month())
-                .join(staged.select(self.key), self.key, "left_semi")
+            stale = self._holding(months, schema, staged)
+            staged = self._staged(
+                changed_rows(self._load(spark, stale, schema), staged, self.key, self.unset), "changed", version + 1
             )
-            touched |= {row.month for row in homes.select("month").distinct().collect()}
-            kept = {m: v for m, v in months.items() if m not in touched}
-            stale = {m: v for m, v in months.items() if m in touched}
-            rows = merge_rows(self._load(spark, stale, schema), rows, self.key)
+            stale = self._holding(stale, schema, staged)
+            kept = {m: v for m, v in months.items() if m not in stale}
+            rows = merge_rows(self._load(spark, stale, schema), staged, self.key)
+        if staged.isEmpty():
+            return version
 
         written = self._path("data", f"version={version + 1}")
         # Rebalancing gives a big month many files and a small one few.
@@ -171,11 +163,25 @@ class KeyedTable:
         filled = spark.read.parquet(written).select(F.col("month").cast("int")).distinct().collect()
         layout = {**kept, **{row.month: version + 1 for row in filled}}
         schema_text = rows.schema.json()
-        entries = [(version + 1, month, by, schema_text) for month, by in layout.items()]
-        snapshot = spark.createDataFrame(entries, "version int, month int, written int, schema string")
-        snapshot.coalesce(1).write.mode("append").json(self._path("snapshots"))
+        entries = [(month, by, schema_text) for month, by in layout.items()]
+        snapshot = spark.createDataFrame(entries, "month int, written int, schema string")
+        # Fails if another writer has published this version meanwhile.
+        snapshot.coalesce(1).write.mode("errorifexists").json(self._path("snapshots", f"version={version + 1}"))
         return version + 1
 
+    def _staged(self, rows: DataFrame, name: str, version: int) -> DataFrame:
+        path = self._path("batches", f"version={version}", name)
+        rows.write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+    def _holding(self, months: dict[int, int], schema: T.StructType, batch: DataFrame) -> dict[int, int]:
+        """The months that hold a key of the batch now or, as an update can move a row, will."""
+        spark = batch.sparkSession
+        keys = self._load(spark, months, schema).select(self.key, self._month())
+        now = keys.join(batch.select(self.key), self.key, "left_semi").select("month")
+        rows = now.union(batch.select(self._month())).distinct().collect()
+        return {row.month: months[row.month] for row in rows if row.month in months}
+
     def changes(self, spark: SparkSession, old: int, new: int) -> DataFrame:
         """Row changes between two versions, reading only the months rewritten between them."""
         (before, old_schema), (after, new_schema) = self.layout(spark, old), self.layout(spark, new)

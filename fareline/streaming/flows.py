@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from fareline.plans.star import dimensions, fct_rides, stage_rides
 from fareline.session import STATE_STORE
 from fareline.sources.json_files import bronze_files, evolve, infer_schema, stream_lines
 from fareline.sources.kafka import bronze_rides
+from fareline.sources.landing import escaped
 from fareline.sources.tables import KeyedTable, StreamTable, or_none
 
 CATCH_UP: Mapping[str, object] = {"availableNow": True}
@@ -84,11 +85,15 @@ def start_live_staging(
 ) -> StreamingQuery:
     """Bronze events to staging: parse, drop repeats within the horizon, apply constraints.
 
+    Each batch's progress reports the constraint counts under LIVE, and under LIVE_arrived
+    the rows before the dedup and those of them without an id, which never reach it. Rows
+    behind the watermark are in its state metrics as numRowsDroppedByWatermark.
+
     ``state_partitions`` fixes over how many tasks the dedup state spreads. It counts at
     the flow's first start only; by default the session's shuffle partitions apply.
     """
     bronze = bronze_rides_table(root).stream(spark, max_files=max_files)
-    rides = staged(live_rides(bronze, combine), LIVE)
+    rides = staged(live_rides(bronze, combine, arrived=f"{LIVE}_arrived"), LIVE)
     usual = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or usual))
     try:
@@ -145,27 +150,28 @@ def load_fact(
     spark: SparkSession, root: str, refs: Callable[[], Mapping[str, DataFrame]], target: KeyedTable
 ) -> int:
     """Merge enriched rides into the fact: all of them first, afterwards the new ones and
-    those of the look-back. Running it again changes nothing. Returns the version."""
+    those of the look-back. Run again without new rides, it leaves the version as it is.
+    Returns the version."""
     silver = enriched_table(spark, root)
     if target.version(spark):
         bound = look_back_bound(target.read(spark), PROCESSED)
-        rides = silver.read(spark, since=bound).where(F.col(PROCESSED) > bound)
+        rides = silver.read(spark).where(F.col(PROCESSED) > bound)
     else:
         rides = silver.read(spark)
     return target.merge(fct_rides(stage_rides(rides), dimensions(refs())))
 
 
 def fact_table(root: str) -> KeyedTable:
-    return KeyedTable(f"{root}/gold/fct_rides", "ride_id", "date_key", (PROCESSED,))
+    return KeyedTable(f"{root}/gold/fct_rides", "ride_id", "date_key", (PROCESSED,), unset=("_gold_built_at",))
 
 
 @dataclass(frozen=True)
 class FileTable:
     """A bronze table over a JSON folder whose columns grow with the files.
 
-    The schema lives beside the checkpoint. ``refresh`` looks at the files that came
-    since the last look; a query started afterwards writes the new columns, and rows
-    stored before read as null there.
+    The schema lives beside the checkpoint, and so do the names of the files looked at,
+    whatever their dates. ``refresh`` looks at all others; a query started afterwards
+    writes the new columns, and rows stored before read as null there.
     """
 
     root: str
@@ -175,33 +181,44 @@ class FileTable:
     def _log(self) -> str:
         return f"{self.root.rstrip('/')}/schemas"
 
-    def _latest(self, spark: SparkSession) -> tuple[T.StructType | None, datetime | None]:
+    @property
+    def _looked_at(self) -> str:
+        return f"{self.root.rstrip('/')}/looked_at"
+
+    def _latest(self, spark: SparkSession) -> T.StructType | None:
         ddl = "seen_micros bigint, schema string"
         log = or_none(lambda: spark.read.schema(ddl).json(self._log))
         row = log and log.orderBy(F.desc("seen_micros")).first()
-        if not row:
-            return None, None
-        seen = datetime.fromtimestamp(row.seen_micros / 1e6, timezone.utc)
-        return T.StructType.fromJson(json.loads(row.schema)), seen
+        return T.StructType.fromJson(json.loads(row.schema)) if row else None
 
     def schema(self, spark: SparkSession) -> T.StructType:
         """Columns known so far, lineage included."""
-        known, _ = self._latest(spark)
+        known = self._latest(spark)
         if known is None:
             raise ValueError(f"refresh {self.root} before reading it")
         lines = spark.createDataFrame([], LINE_DDL)
         return bronze_files(lines, known).schema
 
     def refresh(self, spark: SparkSession) -> T.StructType:
-        """Infer the types of files not looked at yet and add their new fields."""
-        known, seen = self._latest(spark)
-        # An hour of overlap: files are looked at again rather than missed.
-        after = seen and seen - timedelta(hours=1)
+        """Infer the types of files not looked at yet and add their new fields.
+
+        Listing a folder and naming files to a reader happen on the driver anyway; only
+        the names of new files are collected.
+        """
+        known = self._latest(spark)
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.folder)
+        files = listed.select(F.col("path").alias("file"))
+        looked_at = or_none(lambda: spark.read.schema("file string").parquet(self._looked_at))
+        new = files if looked_at is None else files.join(looked_at, "file", "left_anti")
+        names = [row.file for row in new.collect()]
         now = datetime.now(timezone.utc)
-        grown = evolve(known, infer_schema(spark, self.folder, after))
+        grown = evolve(known, infer_schema(spark, [escaped(name) for name in names]))
         entry = [(int(now.timestamp() * 1e6), grown.json())]
         frame = spark.createDataFrame(entry, "seen_micros bigint, schema string")
         frame.coalesce(1).write.mode("append").json(self._log)
+        if names:
+            seen = spark.createDataFrame([(name,) for name in names], "file string")
+            seen.coalesce(1).write.mode("append").parquet(self._looked_at)
         return grown
 
     def _table(self, spark: SparkSession) -> StreamTable:
@@ -211,7 +228,7 @@ class FileTable:
         self, spark: SparkSession, max_files: int | None = None, **options
     ) -> StreamingQuery:
         """Append new files to the table under the schema as refreshed last."""
-        known, _ = self._latest(spark)
+        known = self._latest(spark)
         rows = bronze_files(stream_lines(spark, self.folder, max_files), known or self.refresh(spark))
         return append(rows, self._table(spark), **options)
 

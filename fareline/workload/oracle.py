@@ -442,7 +442,7 @@ ORACLE: dict[str, str] = {
     "revenue_by_city_month": BASE
     + f"""select pickup_city_key, city_name, year_month_number,
         {measured('total_rides', 'completed_rides', 'total_revenue', 'completed_revenue', 'avg_fare')}
-        from fact join dim_city on pickup_city_key = city_key join dim_date using (date_key)
+        from fact join dim_city on pickup_city_key = city_key left join dim_date using (date_key)
         group by all""",
     "rides_enriched": BASE + "select * from kept",
     "distance_band_mix": BASE
@@ -581,6 +581,10 @@ ORACLE: dict[str, str] = {
         {MINUTES_SINCE}, {LAST_24H} from fact group by 1""",
     "revenue_mtd": to_date_credit(),
     "revenue_mtd_by_city": to_date_credit("pickup_city_key"),
+    "avg_fare_mtd": BASE
+    + f"""select d.date_key, {settled('avg(f.total_fare)')} as avg_fare_mtd from dim_date d
+        join fact f on f.date_key between date_trunc('month', d.date_key) and d.date_key
+        join dim_date listed on listed.date_key = f.date_key group by 1""",
     "revenue_mom": month_pairs(),
     "revenue_mom_by_vehicle_make": month_pairs("vehicle_make_key"),
     "revenue_same_day_prior_month": BASE
@@ -598,6 +602,10 @@ ORACLE: dict[str, str] = {
     + LOADED_TWICE
     + f"""select ride_id, date_key, ride_status_key, {settled('total_fare', 2)} as total_fare,
         stamped as _silver_processed_at from second""",
+    "fct_upsert_ties": BASE
+    + f"""select ride_id, date_key, ride_status_key,
+        {settled(f"case when {NUMBER} % 4 = 0 and {NUMBER} % 3 = 2 then total_fare + 1 else total_fare end", 2)}
+            as total_fare, _silver_processed_at, cast(1 as int) as version from fact""",
     "schema_append": BASE
     + f"""select ride_id, date_key, total_fare,
         case when {NUMBER} % 5 <> 0 then fare_band end as fare_band,

@@ -125,7 +125,8 @@ def calendar(spark: SparkSession) -> DataFrame:
 def revenue_by_city_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     city = one_dimension(spark, "dim_city")
     rides = lookup(fact(spark, sf_dir), city, "pickup_city_key", "city_key", city_name="city_name")
-    dated = rides.join(calendar(spark).select("date_key", "year_month_number"), "date_key")
+    # Rides off the calendar stay, under a month of null.
+    dated = rides.join(calendar(spark).select("date_key", "year_month_number"), "date_key", "left")
     names = ["total_rides", "completed_rides", "total_revenue", "completed_revenue", "avg_fare"]
     return rounded(measure(dated, names, ["pickup_city_key", "city_name", "year_month_number"]))
 
@@ -452,6 +453,14 @@ def revenue_mtd_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(month_to_date(fact(spark, sf_dir), calendar(spark), amount, "revenue_mtd", by))
 
 
+@query
+def avg_fare_mtd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ratio: fares and rides are added up over days, and divided last."""
+    parts = {"fares": F.sum("total_fare"), "rides": F.count("total_fare")}
+    amount = parts, F.try_divide("fares", "rides")
+    return rounded(month_to_date(fact(spark, sf_dir), calendar(spark), amount, "avg_fare_mtd"))
+
+
 @query
 def revenue_mom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(month_over_month(fact(spark, sf_dir), calendar(spark), F.sum("total_fare")))
@@ -532,6 +541,18 @@ def fct_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(target.read(spark).select(*columns), 2)
 
 
+@query
+def fct_upsert_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that holds keys twice with one stamp, and is merged again in another order."""
+    columns = ["ride_id", "date_key", "ride_status_key", "total_fare", "_silver_processed_at"]
+    rides = stored(fact(spark, sf_dir).select(*columns), "fct-upsert-ties-source")
+    again = rides.where(ride_number() % 4 == 0).withColumn("total_fare", F.col("total_fare") + ride_number() % 3 - 1)
+    target = fact_table(spark, "fct-upsert-ties")
+    target.merge(rides.unionByName(again))
+    target.merge(again.unionByName(rides).orderBy("total_fare"))
+    return rounded(target.read(spark).withColumn("version", F.lit(target.version(spark))), 2)
+
+
 @query
 def schema_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A merge whose batch brings a new column and lacks one of the target's."""

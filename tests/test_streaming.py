@@ -1,7 +1,9 @@
 """Streams on file sources: dedup, late data, flows, corrections, failures."""
 
 import json
+import os
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +90,9 @@ def test_rides_without_id_or_booking_time_are_dropped_and_counted(spark, topic,
     assert staged_ids(spark, root) == ["a"]
     counts = [p["observedMetrics"][flows.LIVE] for p in query.recentProgress if flows.LIVE in p["observedMetrics"]]
     assert sum(c["rows"] for c in counts) == 2 and sum(c["valid_booking_time"] for c in counts) == 1
+    name = f"{flows.LIVE}_arrived"
+    arrived = [p["observedMetrics"][name] for p in query.recentProgress if name in p["observedMetrics"]]
+    assert sum(c["rows"] for c in arrived) == 4 and sum(c["valid_ride_id"] for c in arrived) == 2
 
 
 def test_thinning_before_the_dedup_changes_no_result(spark, topic, root):
@@ -193,9 +198,31 @@ def test_fact_grows_by_increments(spark, topic, root):
     assert load() == [("a", 33.55, 1), ("b", 40.0, 1), ("c", 33.55, 1), ("d", 33.55, 1)]
 
 
-def test_increments_skip_old_files(spark, topic, root):
+def test_old_files_are_not_skipped(spark, topic, root):
+    """A file dated ten days back that arrives second is read like any other."""
     topic.send(("a", "10:00"))
     to_bronze(topic, root)
-    table = flows.bronze_rides_table(root)
-    assert table.read(spark, since=F.current_timestamp()).count() == 1
-    assert table.read(spark, since=F.current_timestamp() + F.expr("interval 2 day")).count() == 0
+    to_staging(spark, root)
+    topic.send(("b", "10:01"))
+    to_bronze(topic, root)
+    bronze = Path(root, "bronze", "rides_raw", "data", "flow=main")
+    newest = max(bronze.glob("*.parquet"), key=lambda f: f.stat().st_mtime)
+    os.utime(newest, (newest.stat().st_mtime - 864_000,) * 2)
+    to_staging(spark, root)
+    assert staged_ids(spark, root) == ["a", "b"]
+
+
+def test_increments_follow_stamps_not_file_times(spark, topic, root):
+    target = flows.fact_table(root)
+    for ride, day in (("a", "2030-01-01"), ("b", "2030-01-02")):
+        topic.send((ride, "10:00"))
+        to_bronze(topic, root)
+        to_staging(spark, root)
+        stamp = F.lit(day).cast("timestamp")
+        flows.start_enrich(
+            spark, root, flows.LIVE, lambda: references(spark), processed_at=stamp
+        ).awaitTermination()
+        flows.load_fact(spark, root, lambda: references(spark), target)
+    assert sorted(r.ride_id for r in target.read(spark).collect()) == ["a", "b"]
+    version = target.version(spark)
+    assert flows.load_fact(spark, root, lambda: references(spark), target) == version

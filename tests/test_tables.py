@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -33,7 +34,7 @@ def test_merge_twice_gives_the_same_table(spark, rows, table):
     assert table.version(spark) == 0
     assert table.merge(batch) == 1
     first = content(table, spark)
-    assert table.merge(batch) == 2
+    assert table.merge(batch) == 1  # nothing differs
     assert content(table, spark) == first == {"a": (1, 1.0), "b": (2, 2.0)}
 
 
@@ -178,3 +179,52 @@ def test_landing_a_missing_file_fails(spark, rows, tmp_path):
     manifest = rows([("a", "nowhere.json")], "folder_name string, file_name string")
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         land(spark, manifest, str(tmp_path), str(tmp_path / "raw"))
+
+
+def test_landing_takes_any_name_and_clears_emptied_folders(spark, tmp_path):
+    files, raw = tmp_path / "fi les", str(tmp_path / "raw")
+    (files / "sub").mkdir(parents=True)
+    names = ["plain.json", "with space.json", "100%+.json", "sub/nested.json", "odd[1].json"]
+    for name in names:
+        (files / name).write_text('{"n":1}\n')
+    manifest = tmp_path / "files_list.json"
+    manifest.write_text(json.dumps([{"folder_name": "all", "file_name": name} for name in names]))
+    land(spark, read_manifest(spark, str(manifest)), str(files), raw)
+    found = spark.read.option("recursiveFileLookup", "true").text(landed_folder(raw, "all"))
+    assert found.count() == 5
+    assert {r.file_name for r in spark.read.text(raw).select("file_name").collect()} == set(names)
+    for name in names:
+        (files / name).write_text("")
+    land(spark, read_manifest(spark, str(manifest)), str(files), raw)
+    assert spark.read.schema("value string").option("recursiveFileLookup", "true").text(landed_folder(raw, "all")).isEmpty()
+
+
+def test_merge_settles_equal_stamps(spark, rows, table):
+    twice = [ride("a", 1, fare) for fare in (3.0, 1.0, 2.0)]
+    table.merge(rows(twice, DDL))
+    assert content(table, spark) == {"a": (1, 3.0)}
+    assert table.merge(rows(twice[::-1], DDL)) == 1
+
+
+def test_a_second_writer_fails(spark, rows, table):
+    table.merge(rows([ride("a", 1, 1.0)], DDL))
+    rows([(202501, 2, "{}")], "month int, written int, schema string").write.json(f"{table.root}/snapshots/version=2")
+    ahead = KeyedTable(table.root, table.key, table.day, table.newest)
+    object.__setattr__(ahead, "version", lambda spark: 1)
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        ahead.merge(rows([ride("b", 1, 1.0)], DDL))
+
+
+def test_old_files_bring_their_columns(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    table = FileTable(str(tmp_path / "bronze"), str(folder))
+    (folder / "1.json").write_text('{"id":1}\n')
+    table.refresh(spark)
+    table.start(spark).awaitTermination()
+    old = folder / "2.json"
+    old.write_text('{"id":2,"w":true}\n')
+    os.utime(old, (old.stat().st_mtime - 864_000,) * 2)
+    table.refresh(spark)
+    table.start(spark).awaitTermination()
+    assert {(r.id, r.w) for r in table.read(spark).collect()} == {(1, None), (2, True)}
