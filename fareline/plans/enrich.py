@@ -12,7 +12,7 @@ from fareline.functions import bands, calendar, fares
 from fareline.operators.expectations import enforce
 from fareline.operators.lookup import lookup
 
-# Ride column -> reference table, and the attributes taken from it (new name -> column).
+# Ride column -> reference table, and the attributes taken from it (new name -> column).
 ATTRIBUTES = {
     "pickup_city_id": (
         "ref_cities",

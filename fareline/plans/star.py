@@ -13,7 +13,7 @@ from fareline.functions.bands import fare_band, tier_rank
 from fareline.functions.calendar import calendar_columns
 from fareline.operators.lookup import lookup
 
-# Gold name -> silver name, per reference table. Order is the column order.
+# Gold name -> silver name, per reference table. Order is the column order.
 STAGED = {
     "ref_cities": {
         "city_id": "city_id",
@@ -50,20 +50,52 @@ STAGED = {
     },
 }
 
-# What gold takes from the enriched rides: no names, contacts, addresses or plates.
+# What gold takes from the enriched rides. No names, contacts, addresses or plates.
 STAGED_RIDE = (
-    "ride_id confirmation_number passenger_id driver_id vehicle_id "
-    "vehicle_type_id vehicle_make_id payment_method_id ride_status_id "
-    "pickup_city_id dropoff_city_id cancellation_reason_id "
-    "booking_timestamp pickup_timestamp dropoff_timestamp "
-    "ride_date pickup_hour pickup_day_of_week is_weekend "
-    "distance_miles duration_minutes duration_hours avg_speed_mph distance_band is_intercity "
-    "base_fare distance_fare time_fare surge_multiplier is_surged "
-    "subtotal tip_amount total_fare fare_per_mile tip_percentage "
-    "rating driver_rating "
-    "pickup_latitude pickup_longitude dropoff_latitude dropoff_longitude "
-    "_source_system _silver_processed_at"
-).split()
+    "ride_id",
+    "confirmation_number",
+    "passenger_id",
+    "driver_id",
+    "vehicle_id",
+    "vehicle_type_id",
+    "vehicle_make_id",
+    "payment_method_id",
+    "ride_status_id",
+    "pickup_city_id",
+    "dropoff_city_id",
+    "cancellation_reason_id",
+    "booking_timestamp",
+    "pickup_timestamp",
+    "dropoff_timestamp",
+    "ride_date",
+    "pickup_hour",
+    "pickup_day_of_week",
+    "is_weekend",
+    "distance_miles",
+    "duration_minutes",
+    "duration_hours",
+    "avg_speed_mph",
+    "distance_band",
+    "is_intercity",
+    "base_fare",
+    "distance_fare",
+    "time_fare",
+    "surge_multiplier",
+    "is_surged",
+    "subtotal",
+    "tip_amount",
+    "total_fare",
+    "fare_per_mile",
+    "tip_percentage",
+    "rating",
+    "driver_rating",
+    "pickup_latitude",
+    "pickup_longitude",
+    "dropoff_latitude",
+    "dropoff_longitude",
+    "_source_system",
+    "_silver_processed_at",
+)
 STAGED_RIDE_NAMES = {"rating": "passenger_rating_given", "driver_rating": "driver_lifetime_rating"}
 
 
@@ -191,20 +223,57 @@ FLAGS = {
     "cancellation_reason_key": {"is_cancelled": "is_actual_cancellation"},
 }
 
-# The fact's columns in order, by what they are. Those not computed come from the ride.
+# The fact's columns in order. Those not computed come from the ride.
 FACT_COLUMNS = (
-    "ride_id confirmation_number date_key "
-    + " ".join(ROLES)
-    + " passenger_id driver_id vehicle_id "
-    "booking_timestamp pickup_timestamp dropoff_timestamp "
-    "pickup_hour pickup_day_of_week is_weekend "
-    "distance_miles duration_minutes base_fare distance_fare time_fare "
-    "subtotal tip_amount total_fare ride_count surge_multiplier avg_speed_mph "
-    "fare_per_mile tip_percentage passenger_rating_given driver_lifetime_rating was_rated "
-    "is_surged is_intercity distance_band fare_band is_completed is_cancelled "
-    "pickup_latitude pickup_longitude dropoff_latitude dropoff_longitude "
-    "_source_system _silver_processed_at _gold_built_at"
-).split()
+    "ride_id",
+    "confirmation_number",
+    "date_key",
+    "pickup_city_key",
+    "dropoff_city_key",
+    "vehicle_type_key",
+    "vehicle_make_key",
+    "payment_method_key",
+    "ride_status_key",
+    "cancellation_reason_key",
+    "passenger_id",
+    "driver_id",
+    "vehicle_id",
+    "booking_timestamp",
+    "pickup_timestamp",
+    "dropoff_timestamp",
+    "pickup_hour",
+    "pickup_day_of_week",
+    "is_weekend",
+    "distance_miles",
+    "duration_minutes",
+    "base_fare",
+    "distance_fare",
+    "time_fare",
+    "subtotal",
+    "tip_amount",
+    "total_fare",
+    "ride_count",
+    "surge_multiplier",
+    "avg_speed_mph",
+    "fare_per_mile",
+    "tip_percentage",
+    "passenger_rating_given",
+    "driver_lifetime_rating",
+    "was_rated",
+    "is_surged",
+    "is_intercity",
+    "distance_band",
+    "fare_band",
+    "is_completed",
+    "is_cancelled",
+    "pickup_latitude",
+    "pickup_longitude",
+    "dropoff_latitude",
+    "dropoff_longitude",
+    "_source_system",
+    "_silver_processed_at",
+    "_gold_built_at",
+)
 
 
 def fct_rides(

@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Replay from the start of the topic, stop rather than skip lost offsets, and take
-# a bounded number of records per micro-batch.
+# Fixed values. Replay from the start of the topic, stop rather than skip lost offsets, and
+# take a bounded number of records per micro-batch, which loses none of them; to catch up
+# with a large backlog pass a much larger number.
 TOPIC_OPTIONS = {
     "startingOffsets": "earliest",
     "failOnDataLoss": "true",

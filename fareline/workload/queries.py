@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareline import schemas as S
-from fareline.operators.expectations import enforce, tally
+from fareline.operators.expectations import tally
 from fareline.operators.lookup import lookup, orphans
 from fareline.operators.measures import measure, rides as ride_count, rounded, with_rides_last_24_hours
 from fareline.operators.periods import (
@@ -26,7 +26,7 @@ from fareline.operators.quality import TableTests, check_rows, freshness, repeat
 from fareline.operators.upsert import newer_than
 from fareline.operators.versions import first_per_key
 from fareline.plans import audit
-from fareline.plans.enrich import derived, rides_enriched
+from fareline.plans.enrich import rides_enriched
 from fareline.plans.reference import checked_reference, current_reference, reference_tables
 from fareline.plans.staging import bulk_rides, live_rides, staged
 from fareline.plans.star import (
@@ -90,12 +90,29 @@ def today() -> Column:
     return F.lit(NOW[:10]).cast("date")
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def silver_table(spark: SparkSession, sf_dir: str, name: str, build: Query) -> DataFrame:
+    """A silver table in shared storage, written when a session first asks for it."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _STORED:
+        path = scratch(spark, f"silver-{name}")
+        rebuild(build(spark, sf_dir), path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def rides_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged rides, derived from ``orders`` once and stored, as a silver table is."""
+    return silver_table(spark, sf_dir, "rides", silver_rides)
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched rides for gold. Gold takes no reference attribute from silver, and the
-    joins that add them neither drop nor repeat a ride, so they are left out."""
-    rides = silver_rides(spark, sf_dir)
-    stamped = rides.withColumns({**derived(), "_silver_processed_at": ingest_time()})
-    return enforce(stamped, S.ENRICHED_RULES)
+    """Enriched rides: all seven joins and the drop rules, stored once for gold."""
+    return silver_table(
+        spark, sf_dir, "rides_enriched", lambda s, d: rides_enriched(rides_table(s, d), references(s), ingest_time())
+    )
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +150,7 @@ def revenue_by_city_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @named("rides_enriched")
 def rides_enriched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rides_enriched(silver_rides(spark, sf_dir), references(spark), ingest_time())
+    return rides_enriched(rides_table(spark, sf_dir), references(spark), ingest_time())
 
 
 @query
@@ -259,7 +276,7 @@ def expect_drop_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def expect_warn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tally(silver_rides(spark, sf_dir), S.ENRICHED_RULES)
+    return tally(rides_table(spark, sf_dir), S.ENRICHED_RULES)
 
 
 def bulk_lines(rides: DataFrame) -> DataFrame:
@@ -283,7 +300,7 @@ def flawed(rides: DataFrame) -> DataFrame:
 
 @query
 def expect_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rides = silver_rides(spark, sf_dir)
+    rides = rides_table(spark, sf_dir)
     dropped = flawed(rides)
     return tally(dropped.withColumn("ride_id", F.when(ride_number() % 601 != 0, F.col("ride_id"))), S.STAGING_RULES)
 
@@ -292,7 +309,7 @@ def expect_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staging_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sources as JSON text, parsed, typed, de-duplicated, checked and united."""
     root = scratch(spark, "staging-from-json")
-    rides = flawed(silver_rides(spark, sf_dir))
+    rides = flawed(rides_table(spark, sf_dir))
     booked = F.coalesce("booking_timestamp", "pickup_timestamp")
     kafka_records(rides.withColumn("booking_timestamp", booked)).write.parquet(f"{root}/topic")
     bulk_lines(rides).select("value").write.text(f"{root}/raw")
@@ -318,7 +335,7 @@ def dq_gold_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_silver_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rides = rides_enriched(silver_rides(spark, sf_dir), references(spark), ingest_time())
+    rides = rides_enriched(rides_table(spark, sf_dir), references(spark), ingest_time())
     rides = stored(rides, "tested-rides")
     return run_tests({**references(spark), "rides_enriched": rides}, audit.SILVER_TESTS)
 
@@ -333,12 +350,12 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["ride_id", "payment_method_id", "dropoff_timestamp", "rating", "total_fare"]
-    return check_rows("staging_rides", silver_rides(spark, sf_dir), TableTests(not_null=columns))
+    return check_rows("staging_rides", rides_table(spark, sf_dir), TableTests(not_null=columns))
 
 
 @query
 def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rides, refs = silver_rides(spark, sf_dir), references(spark)
+    rides, refs = rides_table(spark, sf_dir), references(spark)
     parents = {
         "dropoff_city_id": ("ref_cities", "city_id"),
         "vehicle_type_id": ("ref_vehicle_types", "vehicle_type_id"),
@@ -373,7 +390,7 @@ def dq_accepted_range(spark: SparkSession, sf_dir: str) -> DataFrame:
             "total_fare": (None, 300),
         }
     )
-    return check_rows("staging_rides", silver_rides(spark, sf_dir), tests)
+    return check_rows("staging_rides", rides_table(spark, sf_dir), tests)
 
 
 @query
@@ -400,7 +417,7 @@ def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rate_card_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(audit.rate_card_audit(silver_rides(spark, sf_dir), references(spark)))
+    return rounded(audit.rate_card_audit(rides_table(spark, sf_dir), references(spark)))
 
 
 # Measures ------------------------------------------------------------------------
@@ -579,7 +596,7 @@ def table_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rescued_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulk lines with mistyped fields, unknown fields and broken records."""
     ride, k = F.col("ride_id"), F.col("k")
-    rides = silver_rides(spark, sf_dir).select("ride_id", ride_number().alias("k"))
+    rides = rides_table(spark, sf_dir).select("ride_id", ride_number().alias("k"))
     good = F.format_string('{"ride_id":"%s","rating":%d,"is_test":false}', ride, k % 5 + 1)
     line = (
         F.when(k % 11 == 0, F.format_string('{"ride_id":"%s","rating":"five"}', ride))
@@ -594,7 +611,7 @@ def rescued_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """The live rides' topic, as a stream over files of Kafka-shaped records."""
-    kafka_records(silver_rides(spark, sf_dir)).write.parquet(f"{root}/topic")
+    kafka_records(rides_table(spark, sf_dir)).write.parquet(f"{root}/topic")
     return spark.readStream.schema(S.KAFKA_RECORD_DDL).parquet(f"{root}/topic")
 
 
@@ -637,7 +654,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def append_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "append-flows")
-    rides = silver_rides(spark, sf_dir)
+    rides = rides_table(spark, sf_dir)
     bulk_lines(rides).select("value").write.text(f"{root}/raw")
     stage_live(spark, sf_dir, root)
     stage_bulk(spark, root, f"{root}/raw")
@@ -657,7 +674,7 @@ def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulk files whose later ones carry a new field: old rows read as null there."""
     root = scratch(spark, "schema-evolution")
-    rides = silver_rides(spark, sf_dir).select(
+    rides = rides_table(spark, sf_dir).select(
         "ride_id", "total_fare", "duration_minutes", ride_number().alias("k")
     )
     plain = rides.where("k % 3 <> 0").drop("k")
@@ -681,7 +698,7 @@ def reference_files(spark: SparkSession, root: str) -> None:
 def land_all(spark: SparkSession, sf_dir: str, root: str) -> str:
     """Write source files and their manifest, and land everything the manifest lists."""
     reference_files(spark, root)
-    bulk_lines(silver_rides(spark, sf_dir)).select("value").write.text(f"{root}/files/bulk_rides.json")
+    bulk_lines(rides_table(spark, sf_dir)).select("value").write.text(f"{root}/files/bulk_rides.json")
     # Two of the manifest's folder names end in a dot.
     dotted = {"map_cities", "map_cancellation_reasons"}
     entries = [(name + "." * (name in dotted), f"{name}.json") for name in S.FILE_TABLES]
