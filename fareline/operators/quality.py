@@ -109,6 +109,18 @@ def run_tests(tables: Mapping[str, DataFrame], suite: Mapping[str, TableTests])
     return reduce(DataFrame.unionByName, parts)
 
 
+class SuiteFailed(Exception):
+    """Table tests that found failures, as (table, test, column, failures)."""
+
+
+def require_passing(report: DataFrame) -> DataFrame:
+    """The report, unless a test in it failed: then the run stops. One row per test is collected."""
+    failed = report.where("failures > 0").orderBy("table_name", "test", "column_name").collect()
+    if failed:
+        raise SuiteFailed([tuple(row) for row in failed])
+    return report
+
+
 def freshness(
     df: DataFrame, loaded_at: str, now: Column, warn_minutes: int, error_minutes: int
 ) -> DataFrame:

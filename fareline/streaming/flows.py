@@ -21,12 +21,12 @@ from fareline.operators.expectations import enforce
 from fareline.operators.upsert import look_back_bound
 from fareline.plans.enrich import enriched, rides_enriched
 from fareline.plans.staging import bulk_rides, live_rides, staged
-from fareline.plans.star import dimensions, fct_rides, stage_rides
+from fareline.plans.star import DIMENSIONS, dim_date, dimensions, fct_rides, stage_rides
 from fareline.session import STATE_STORE
 from fareline.sources.json_files import bronze_files, evolve, infer_schema, stream_lines
 from fareline.sources.kafka import bronze_rides
 from fareline.sources.landing import escaped
-from fareline.sources.tables import KeyedTable, StreamTable, or_none
+from fareline.sources.tables import KeyedTable, StreamTable, or_none, rebuild
 
 CATCH_UP: Mapping[str, object] = {"availableNow": True}
 LINE_DDL = (
@@ -161,6 +161,29 @@ def load_fact(
     return target.merge(fct_rides(stage_rides(rides), dimensions(refs())))
 
 
+def dimension_path(root: str, name: str) -> str:
+    return f"{root}/gold/{name}"
+
+
+def build_gold(
+    spark: SparkSession,
+    root: str,
+    refs: Callable[[], Mapping[str, DataFrame]],
+    today: Column | None = None,
+) -> int:
+    """Rebuild the stored dimensions and the calendar, then merge the fact. Returns its version."""
+    for name, rows in {**dimensions(refs()), "dim_date": dim_date(spark, today)}.items():
+        rebuild(rows, dimension_path(root, name))
+    return load_fact(spark, root, refs, fact_table(root))
+
+
+def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The stored gold tables by name, as tests and reports read them."""
+    names = [*DIMENSIONS, "dim_date"]
+    stored = {name: spark.read.parquet(dimension_path(root, name)) for name in names}
+    return {**stored, "fct_rides": fact_table(root).read(spark)}
+
+
 def fact_table(root: str) -> KeyedTable:
     return KeyedTable(f"{root}/gold/fct_rides", "ride_id", "date_key", (PROCESSED,), unset=("_gold_built_at",))
 

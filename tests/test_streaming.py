@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareline import schemas as S
+from fareline.operators.quality import TableTests, SuiteFailed, require_passing, run_tests
 from fareline.plans.enrich import rides_enriched
 from fareline.plans.staging import live_rides, staged
 from fareline.sources.kafka import bronze_rides
@@ -226,3 +227,18 @@ def test_increments_follow_stamps_not_file_times(spark, topic, root):
     assert sorted(r.ride_id for r in target.read(spark).collect()) == ["a", "b"]
     version = target.version(spark)
     assert flows.load_fact(spark, root, lambda: references(spark), target) == version
+
+
+def test_gold_is_stored_and_gated(spark, topic, root):
+    topic.send(("a", "10:00"), ("b", "10:01"))
+    to_bronze(topic, root)
+    to_staging(spark, root)
+    flows.start_enrich(spark, root, flows.LIVE, lambda: references(spark)).awaitTermination()
+    assert flows.build_gold(spark, root, lambda: references(spark)) == 1
+    gold = flows.gold_tables(spark, root)
+    assert gold["fct_rides"].count() == 2 and gold["dim_city"].count() == 11 and "dim_date" in gold
+    suite = {"fct_rides": TableTests(unique=["ride_id"], relationships={"pickup_city_key": ("dim_city", "city_key")})}
+    assert require_passing(run_tests(gold, suite)).count() == 2
+    twice = {**gold, "fct_rides": gold["fct_rides"].unionByName(gold["fct_rides"].limit(1))}
+    with pytest.raises(SuiteFailed, match="unique.*ride_id"):
+        require_passing(run_tests(twice, suite))
