@@ -24,7 +24,7 @@ from fareline.llm.common import components, durable, map_columns
 
 THRESHOLD = 0.93
 #: Distinct vectors a pivot, pivots a label, and pivots in all, which bounds the sample.
-VECTORS_A_PIVOT, MOST_PIVOTS, ALL_PIVOTS = 4000, 64, 4096
+VECTORS_A_PIVOT, MOST_PIVOTS, ALL_PIVOTS = 1000, 64, 4096
 OWN_BLOCK, VISITOR_BLOCK = 4096, 16_384
 ROUNDING = 1e-6
 
