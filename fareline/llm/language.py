@@ -11,7 +11,6 @@ touched are zero, so texts in an unknown script fall towards an even, low score.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +32,6 @@ DOCS_A_LANGUAGE, MOST_LANGUAGES, LONGEST = 500, 200, 30_000
 REJECTED = 0.0005
 LEAST_SCORE = 0.4
 
-_LETTER = re.compile(r"[^\W\d_]")
 _FOLD = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
 
@@ -91,7 +89,7 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, its probability, and whether the text is accepted."""
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, False
         p = _softmax(self.raw(text) / self.temperature)
         best = int(p.argmax())
