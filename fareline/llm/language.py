@@ -6,7 +6,8 @@ embedding table; a text is the average of its rows, and a softmax over a linear
 gives the languages. Training is stochastic gradient descent in numpy on a bounded
 sample; a held-out part of the sample sets a temperature, so that scores are
 probabilities, and the score under which a text is rejected. Rows that training never
-touched are zero, so texts in an unknown script fall towards an even, low score.
+touched are zero, so texts in an unknown script fall towards an even, low score; a text
+most of whose subwords are such rows is rejected as well.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ RATE = 4.0
 DOCS_A_LANGUAGE, MOST_LANGUAGES, LONGEST = 500, 200, 30_000
 #: Share of texts that the sample's held-out part may reject.
 REJECTED = 0.0005
-LEAST_SCORE = 0.4
+#: The least score and share of known subwords are never set above these.
+LEAST_SCORE, LEAST_SEEN = 0.4, 0.5
 
 _FOLD = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -66,34 +68,40 @@ def folded(text: str) -> bytes:
 
 @dataclass
 class LanguageModel:
-    """Languages, logits of each subword row, temperature and the least score accepted."""
+    """Languages, logits of each subword row and whether training met it, temperature, and
+    the least score and share of known subwords of a text that is accepted."""
 
     languages: list[str]
     logits: np.ndarray
-    temperature: float
-    least_score: float
+    seen: np.ndarray
+    temperature: float = 1.0
+    least_score: float = 0.0
+    least_seen: float = 0.0
 
-    def raw(self, text: str) -> np.ndarray:
-        """Averaged logits of a text, a piece of a megabyte at a time."""
+    def raw(self, text: str) -> tuple[np.ndarray, float]:
+        """Averaged logits and known share of a text, a piece of a megabyte at a time."""
         data = np.frombuffer(folded(text), np.uint8)
-        total, count = np.zeros(len(self.languages)), 0
+        total, count, seen = np.zeros(len(self.languages)), 0, 0
         longest = max(ORDERS)
         for start in range(0, len(data), 1 << 20):
             piece = data[start : start + (1 << 20) + longest - 1]
             rows, places = subwords(piece)
             rows = rows[places < (1 << 20)]
             for part in range(0, len(rows), 1 << 18):
-                total += self.logits[rows[part : part + (1 << 18)]].sum(axis=0)
+                total += self.logits[rows[part : part + (1 << 18)]].sum(axis=0, dtype=np.float64)
             count += len(rows)
-        return total / max(1, count)
+            seen += int(self.seen[rows].sum())
+        return total / max(1, count), seen / max(1, count)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, its probability, and whether the text is accepted."""
         if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, False
-        p = _softmax(self.raw(text) / self.temperature)
+        raw, seen = self.raw(text)
+        p = _softmax(raw / self.temperature)
         best = int(p.argmax())
-        return self.languages[best], float(p[best]), bool(p[best] >= self.least_score)
+        accepted = p[best] >= self.least_score and seen >= self.least_seen
+        return self.languages[best], float(p[best]), bool(accepted)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -105,7 +113,8 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
     """SGD over whole texts and short pieces of them; every fifth text calibrates."""
     languages = sorted(set(langs))
     if len(languages) < 2:
-        return LanguageModel(languages, np.zeros((len(ORDERS) * BUCKETS, len(languages))), 1.0, 0.0)
+        rows = len(ORDERS) * BUCKETS
+        return LanguageModel(languages, np.zeros((rows, len(languages))), np.zeros(rows, bool))
     rng = np.random.default_rng(seed)
     examples, held = [], []
     for n, i in enumerate(rng.permutation(len(texts))):
@@ -138,9 +147,10 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
             table[rows] -= rate * len(rows) ** 0.5 * weights[:, None] * back[None, :]
             touched[rows] = True
     table[~touched] = 0
-    model = LanguageModel(languages, (table @ layer).astype(np.float32), 1.0, 0.0)
+    model = LanguageModel(languages, (table @ layer).astype(np.float32), touched)
     if held:
-        raw = np.array([model.raw(piece) for _, _, _, piece in held])
+        found = [model.raw(piece) for _, _, _, piece in held]
+        raw, seen = np.array([x for x, _ in found]), np.array([x for _, x in found])
         y = np.array([y for _, _, y, _ in held])
         losses = {}
         for t in np.geomspace(0.05, 5, 40):
@@ -149,6 +159,7 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
         model.temperature = float(min(losses, key=losses.get))
         scores = _softmax(raw / model.temperature).max(axis=1)
         model.least_score = float(min(np.quantile(scores, REJECTED), max(LEAST_SCORE, 1.2 / len(languages))))
+        model.least_seen = float(min(np.quantile(seen, REJECTED), LEAST_SEEN))
     return model
 
 
@@ -162,7 +173,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     learn = learn.where(F.octet_length(text_col) <= LONGEST)
     counts = learn.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MOST_LANGUAGES).collect()
     if not counts:
-        return LanguageModel([], np.zeros((1, 0)), 1.0, 0.0)
+        return LanguageModel([], np.zeros((1, 0)), np.zeros(1, bool))
     share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], DOCS_A_LANGUAGE / r[1])])[F.col(lang_col)]
     drawn = (F.xxhash64(F.col(id_col).cast("string"), F.lit("language")) / F.lit(2.0**64)) + 0.5
     sample = learn.where(drawn < share).select(F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
