@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from fareline.llm.common import map_columns
 
 SPACE = "▁"
+_BROKEN = re.compile("[\udc80-\udcff]")
 NEVER = float("inf")
 CACHE_ENTRIES = 200_000
 LONGEST_CACHED = 64
@@ -167,19 +168,18 @@ class PieceTable:
         ids = struct.unpack(f"<{len(packed) // 4}I", packed)
         decoded = self._decoded
         joined = b"".join([decoded[i] for i in ids])
-        first = next((i for i in ids if i not in self.silent), None)
-        if first is not None and self.text.get(first, "").startswith(SPACE):
-            joined = joined[1:]
         try:
             joined.decode()
         except UnicodeDecodeError:
             joined = b"".join(
-                b"".join(bytes([self.byte_of[i]]) for i in run).decode(errors="replace").encode()
+                _BROKEN.sub("\ufffd", bytes(map(self.byte_of.get, run)).decode(errors="surrogateescape")).encode()
                 if is_byte
                 else b"".join(decoded[i] for i in run)
                 for is_byte, run in itertools.groupby(ids, self.byte_of.__contains__)
             )
-        return joined
+        first = next((i for i in ids if i not in self.silent), None)
+        starts_marked = first is not None and self.text.get(first, "").startswith(SPACE)
+        return joined[1:] if starts_marked else joined
 
 
 class Encoder:
