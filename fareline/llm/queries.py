@@ -98,4 +98,35 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+#: The other queries train a model, hash with XXH64, tokenize, match with edits or search for
+#: a packing, which SQL doesn't express; tests hold them against brute force instead.
+ORACLE: dict[str, str] = {
+    "op1_embedding_dedup": """
+        with recursive usable as (
+            select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+            where label is not null and len(embedding) > 0
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+                and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links as (
+            select a.vec_id as a, b.vec_id as b from usable a join usable b
+                on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+            where list_cosine_similarity(a.e, b.e) >= 0.93),
+        reach as (
+            select vec_id as node, vec_id as root from embeddings
+            union select links.b, reach.root from reach join links on links.a = reach.node),
+        roots as (select node, min(root) as root from reach group by 1),
+        counts as (select a, count(*) as n from links group by 1)
+        select vec_id, coalesce(n, 0) as n_links, root as component_id, vec_id = root as kept
+        from embeddings join roots on node = vec_id left join counts on a = vec_id""",
+    "op3_topk": """
+        with usable as (
+            select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as e from embeddings
+            where vec_id is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scores as (
+            select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+            from usable q join usable c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 20 = 0)
+        select query_id, vec_id, score,
+            cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank
+        from scores qualify rank <= 20""",
+}

@@ -16,11 +16,12 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[n]) for n in (2, 1)]
 
 import corpus_pipeline  # noqa: E402
 from fareline.llm import cells, common, embedding_dedup, packing, pii, sharding, simhash, topk  # noqa: E402
-from fareline.llm.queries import QUERIES  # noqa: E402
+from compare import compare, database  # noqa: E402
+from fareline.llm.queries import ORACLE, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -508,3 +509,8 @@ def test_queries_return_every_row(spark, name):
     found = QUERIES[name](spark, SF)
     source = spark.read.parquet(f"{SF}/{table}.parquet")
     assert found.select(key).distinct().count() == source.select(key).distinct().count()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_equal_their_sql(spark, name):
+    assert compare(spark, database(SF), SF, name) is None
