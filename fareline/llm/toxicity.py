@@ -163,7 +163,8 @@ def fit_toxicity(
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_text is not null")
     rows = (
         texts.where(F.octet_length("_text") <= LONGEST)
-        .join(drawn, "_id")
+        # The limit proves the size of what is broadcast, and spares shuffling all texts.
+        .join(F.broadcast(drawn.limit(2 * (POSITIVE + NEGATIVE))), "_id")
         .select("_text", "_toxic")
         .limit(2 * (POSITIVE + NEGATIVE))
         .collect()
