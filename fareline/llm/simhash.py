@@ -26,10 +26,11 @@ SEED = 42
 SHINGLE_WORDS = 3
 RADIUS = 3
 SAMPLE = 8192
-#: Fingerprints of a leaf, and the most leaves a tree has.
-LEAF, MOST_LEAVES = 4096, 1024
-#: Own fingerprints and visitors that one task compares at once.
-OWN_BLOCK, VISITOR_BLOCK = 8192, 65_536
+#: Fingerprints of a leaf, and the most leaves a tree has. Copies to other leaves cost a
+#: shuffle and pruning inside a leaf doesn't, so leaves are large.
+LEAF, MOST_LEAVES = 65_536, 1024
+#: Own fingerprints and visitors that one task compares at once, a few megabytes.
+OWN_BLOCK, VISITOR_BLOCK = 65_536, 262_144
 SMALL = 96
 BITS_AT_ONCE = 65_536
 
