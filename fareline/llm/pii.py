@@ -8,6 +8,12 @@ at most 1, and 1 means that the term occurs near that entity only. Above one thr
 term is generalised, above a higher one removed. A pair must be seen in several different
 texts, as a single text is no estimate.
 
+Most values occur in one text only. So the classes of a value are entities as well: its
+kind, and the domain of an e-mail, the first three parts of an ip, the issuer of a card,
+the country and area of a phone. Among the many terms of a class some are always near it
+by chance, so n(e, t) / n(t) is replaced by the lower end of its Wilson interval, in which
+copies of a text are no further evidence.
+
 Patterns are written with possessive repeats and look-behind, which match the same spans
 as the plain ones but need no more than linear time and no stack on long runs.
 """
@@ -35,6 +41,8 @@ _WORD = r"\p{L}[\p{L}\p{N}]{2,}+"
 
 #: Characters around a mention, texts that must show a pair, and the two thresholds.
 WINDOW, SUPPORT, GENERALISE, REMOVE = 48, 2, 0.5, 0.9
+#: Standard errors below the estimate for a class: one term in some millions by chance.
+SIGMAS = 5.0
 
 _FOUND = "array<struct<start:int,end:int,value:string>>"
 _SPANS = "array<struct<start:int,place:int,end:int,kind:string,value:string>>"
@@ -82,9 +90,25 @@ def base_spans(text: Column) -> Column:
     )
 
 
-def _entity(span: Column) -> Column:
-    value = F.when(span["kind"].isin("card", "phone"), _digits(span["value"])).otherwise(F.lower(span["value"]))
-    return F.concat(span["kind"], F.lit(":"), value)
+def _entities(span: Column) -> Column:
+    """The exact value as kind:value, then its classes: kind/part and kind."""
+    kind = span["kind"]
+    value = F.when(kind.isin("card", "phone"), _digits(span["value"])).otherwise(F.lower(span["value"]))
+    part = (
+        F.when(kind == "email", F.regexp_extract(value, "@(.*)$", 1))
+        .when(kind == "ip", F.regexp_extract(value, r"^(.*)\.", 1))
+        .when(kind == "card", F.substring(value, 1, 6))
+        .otherwise(F.regexp_extract(value, "^(.*).{7}$", 1))
+    )
+    return F.array(F.concat(kind, F.lit(":"), value), F.concat(kind, F.lit("/"), part), kind)
+
+
+def _least_rate(n_both: Column, n_term: Column, texts: Column) -> Column:
+    """Lower end of the Wilson interval of n_both / n_term, on as many trials as give `texts` hits."""
+    rate = n_both / n_term
+    per_trial = F.lit(SIGMAS**2) * rate / texts
+    spread = F.sqrt(per_trial * rate * (1 - rate) + per_trial * per_trial / 4)
+    return (rate + per_trial / 2 - spread) / (1 + per_trial)
 
 
 def _keys(id_col: str, text: Column) -> list[Column]:
@@ -145,7 +169,7 @@ def disclosing_spans(
     mention = F.transform(
         "base",
         lambda s: F.struct(
-            _entity(s).alias("entity"),
+            _entities(s).alias("entities"),
             F.greatest(s["start"] - window, F.lit(0)).alias("from"),
             s["end"].alias("until"),
             F.substring(
@@ -156,7 +180,9 @@ def disclosing_spans(
     )
     rows = durable(spans.select("doc_id", "_id", "_hash", "base", mention.alias("mentions")))
     marked = rows.where(F.size("base") > 0)
-    mentions = marked.select("_id", "_hash", F.explode("mentions").alias("m")).select("_id", "_hash", "m.*")
+    mentions = marked.select("_id", "_hash", F.explode("mentions").alias("m")).select(
+        "_id", "_hash", F.explode("m.entities").alias("entity"), "m.*"
+    )
     near = durable(_near_terms(mentions, window))
 
     seen = near.select("entity", "term", "_id", "_hash").distinct()
@@ -171,9 +197,10 @@ def disclosing_spans(
     every_term = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(_WORD), F.lit(0)))
     terms = docs.select(F.explode(every_term).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     total = float(rows.count())
-    share = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_entity") * F.col("n_term"))) / F.log2(
-        F.lit(total) / F.col("n_entity")
+    rate = F.when(F.col("entity").contains(":"), F.col("n_both") / F.col("n_term")).otherwise(
+        _least_rate(F.col("n_both"), F.col("n_term"), F.col("texts"))
     )
+    share = F.log2(F.lit(total) * rate / F.col("n_entity")) / F.log2(F.lit(total) / F.col("n_entity"))
     revealing = (
         pairs.join(entities, "entity")
         .where(F.col("n_entity") < total)

@@ -454,6 +454,27 @@ def test_revealing_terms_equal_brute_force_and_go(spark):
     assert clean[0] == texts[0] and clean[44] == "call Ophelia on [PHONE] now"
 
 
+def test_terms_that_reveal_a_class_of_values(spark):
+    texts = [f"plain words number {'abc'[n % 3]} about the weather and nothing else" for n in range(400)]
+    texts += [f"the clinic Quarnheim answers at p{n}@{'xyz'[n % 3]}.example.com about {n}" for n in range(12)]
+    texts += [f"ask Zebulon at q{n}@corp.example.org about the weather {n}" for n in range(4)]
+    texts += ["call Ophelia on +1 415 555 2671 now"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = [r.text for r in pii.sanitise(table).orderBy("doc_id").collect()]
+    assert not any("Quarnheim" in t or "Zebulon" in t for t in clean)
+    assert all("about" in t for t in clean[:416]) and clean[:400] == texts[:400]
+    assert clean[416] == "call Ophelia on [PHONE] now"
+
+
+def test_least_rate_is_wilsons_lower_end(spark):
+    cases = [(1, 1, 1), (2, 2, 2), (3, 4, 3), (40, 50, 40), (50, 50, 50), (10, 10, 2)]
+    table = spark.createDataFrame(cases, "k long, n long, texts long")
+    for r in table.select("*", pii._least_rate(F.col("k"), F.col("n"), F.col("texts")).alias("low")).collect():
+        p, n, z = r.k / r.n, r.texts * r.n / r.k, pii.SIGMAS
+        want = (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        assert abs(r.low - want) < 1e-12
+
+
 def test_sanitise_keeps_rows_and_other_columns(spark):
     data = [(1, "a@b.co x", 7), (1, "a@b.co x", 7), (2, None, 7), (3, "", 7), (None, "10.0.0.1", 7)]
     table = spark.createDataFrame(data, "doc_id long, text string, spans int")
