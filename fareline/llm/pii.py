@@ -1,16 +1,16 @@
 """Personal data: patterns, and terms that reveal a protected entity, all in Spark functions.
 
 Every value that the patterns find is a protected entity e. Its information content is
-IC(e) = log2(N / n(e)) over N documents. A term t in the text around mentions of e reveals
-PMI(e, t) = log2(N n(e, t) / (n(e) n(t))) of it, where n(e, t) counts documents with t
-near e and n(t) all documents with t anywhere. As n(e, t) <= n(t), the share PMI / IC is
-at most 1, and 1 means that the term occurs near that entity only. Above one threshold a
+IC(e) = log2(N / n(e)) over N documents. A term t of the documents with e reveals
+PMI(e, t) = log2(N n(e, t) / (n(e) n(t))) of it, where n(e, t) counts documents with both
+anywhere and n(t) all documents with t. As n(e, t) <= n(t), the share PMI / IC is
+at most 1, and 1 means that the term occurs with that entity only. Above one threshold a
 term is generalised, above a higher one removed. A pair must be seen in several different
 texts, as a single text is no estimate.
 
 Most values occur in one text only. So the classes of a value are entities as well: its
 kind, and the domain of an e-mail, the first three parts of an ip, the issuer of a card,
-the country and area of a phone. Among the many terms of a class some are always near it
+the country and area of a phone. Among the many terms of a class some are always with it
 by chance, so n(e, t) / n(t) is replaced by the lower end of its Wilson interval, in which
 copies of a text are no further evidence.
 
@@ -38,9 +38,12 @@ IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.|$)){4}$"
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 _WORD = r"\p{L}[\p{L}\p{N}]{2,}+"
+_CHUNK = r"(?s).{1,512}+[\p{L}\p{N}]*+"
 
-#: Characters around a mention, texts that must show a pair, and the two thresholds.
-WINDOW, SUPPORT, GENERALISE, REMOVE = 48, 2, 0.5, 0.9
+#: Texts that must show a pair, and the two thresholds.
+SUPPORT, GENERALISE, REMOVE = 2, 0.5, 0.9
+#: No bound any more: mentions and terms this near were all that counted once. Tests name it.
+WINDOW = 48
 #: Standard errors below the estimate for a class: one term in some millions by chance.
 SIGMAS = 5.0
 
@@ -116,111 +119,115 @@ def _keys(id_col: str, text: Column) -> list[Column]:
     return [F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"), F.xxhash64(text).alias("_hash")]
 
 
-def _near_terms(mentions: DataFrame, window: int) -> DataFrame:
-    """(_id, _hash, entity, term, start, end) of whole words near each mention."""
-    left = F.when(F.col("from") > 0, F.regexp_extract("left", r"^[\p{L}\p{N}]*+", 0)).otherwise(F.lit(""))
-    right = F.when(
-        F.length("right") >= window, F.regexp_replace("right", r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++$", "")
-    ).otherwise(F.col("right"))
-    sides = mentions.withColumn("cut", F.length(left)).select(
-        "_id",
-        "_hash",
-        "entity",
-        F.explode(
-            F.array(
-                F.struct((F.col("from") + F.col("cut")).alias("at"), F.expr("substring(left, cut + 1)").alias("side")),
-                F.struct(F.col("until").alias("at"), right.alias("side")),
-            )
-        ).alias("s"),
+def _distinct_terms(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.lower))
+
+
+def _term_spans(texts: DataFrame) -> DataFrame:
+    """(_hash, start, end, share) of every place of the terms in `shares` in _text.
+
+    Words are found a chunk at a time, which ends where a run of letters and digits does;
+    so long texts take no more than linear time, but for the sums of chunk lengths.
+    """
+    chunks = F.regexp_extract_all("_text", F.lit(_CHUNK), F.lit(0))
+    starts = F.aggregate(
+        F.transform("chunks", F.length),
+        F.array(F.lit(0)),
+        lambda so_far, size: F.concat(so_far, F.array(F.element_at(so_far, -1) + size)),
+    )
+    parts = (
+        texts.select("_hash", "shares", chunks.alias("chunks"))
+        .select("_hash", "shares", F.explode(F.arrays_zip("chunks", starts.alias("at"))).alias("c"))
+        .where(F.col("c.chunks").isNotNull())
     )
-    words = sides.select("_id", "_hash", "entity", "s.at", F.explode(matches(F.col("s.side"), _WORD)).alias("w"))
+    words = parts.select("_hash", "shares", "c.at", F.explode(matches(F.col("c.chunks"), _WORD)).alias("w"))
     return words.select(
-        "_id",
         "_hash",
-        "entity",
-        F.lower("w.value").alias("term"),
         (F.col("at") + F.col("w.start")).alias("start"),
         (F.col("at") + F.col("w.end")).alias("end"),
-    )
+        F.col("shares")[F.lower("w.value")].alias("share"),
+    ).where(F.col("share").isNotNull())
 
 
 def disclosing_spans(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    window: int = WINDOW,
     support: int = SUPPORT,
     generalise: float = GENERALISE,
     remove: float = REMOVE,
 ) -> DataFrame:
     """(id_col, _id, _hash, base, terms) for every row; durable.
 
-    base: the spans of the patterns. terms: spans of revealing terms near mentions, with
-    their share of disclosure as value and the action as kind (generalise or remove);
-    none overlaps a base span. Null and empty texts have no spans. Rows that repeat an id
-    and its text have the same spans and count once for pairs. All counts are over the
-    whole table; every aggregation combines before its shuffle, and no document's or
-    entity's words are gathered.
+    base: the spans of the patterns. terms: spans of revealing terms wherever they stand in
+    a document with the entity, with their share of disclosure as value and the action as
+    kind (generalise or remove); none overlaps a base span. Null and empty texts have no
+    spans. Rows that repeat an id and its text have the same spans and count once for pairs.
+    All counts are over the whole table, a document's distinct terms against its distinct
+    entities; every aggregation combines before its shuffle. Values of a single text take
+    no part in pairs, as they can't have the support. Only a document's own entities and
+    its revealing terms are gathered.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     spans = docs.select(F.col(id_col).alias("doc_id"), *_keys(id_col, text), text.alias("_text")).withColumn(
         "base", base_spans(F.col("_text"))
     )
-    mention = F.transform(
-        "base",
-        lambda s: F.struct(
-            _entities(s).alias("entities"),
-            F.greatest(s["start"] - window, F.lit(0)).alias("from"),
-            s["end"].alias("until"),
-            F.substring(
-                F.col("_text"), F.greatest(s["start"] - window, F.lit(0)) + 1, F.least(s["start"], F.lit(window))
-            ).alias("left"),
-            F.substring(F.col("_text"), s["end"] + 1, F.lit(window)).alias("right"),
-        ),
-    )
-    rows = durable(spans.select("doc_id", "_id", "_hash", "base", mention.alias("mentions")))
+    with_text = F.when(F.size("base") > 0, F.col("_text"))
+    rows = durable(spans.select("doc_id", "_id", "_hash", "base", with_text.alias("_text")))
+    total = float(rows.count())
     marked = rows.where(F.size("base") > 0)
-    mentions = marked.select("_id", "_hash", F.explode("mentions").alias("m")).select(
-        "_id", "_hash", F.explode("m.entities").alias("entity"), "m.*"
+
+    each = F.array_distinct(F.flatten(F.transform("base", _entities)))
+    mentions = marked.select("_id", "_hash", F.explode(each).alias("entity")).distinct()
+    mentions = durable(mentions.groupBy("entity", "_hash").agg(F.count(F.lit(1)).alias("n")))
+    entities = mentions.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
+    entities = durable(entities.where((F.col("texts") >= support) & (F.col("n_entity") < total)).drop("texts"))
+    repeated = mentions.join(entities, "entity", "left_semi").groupBy("_hash").agg(
+        F.collect_list("entity").alias("entities"), F.first("n").alias("n")
     )
-    near = durable(_near_terms(mentions, window))
+    texts = durable(marked.select("_hash", "_text").dropDuplicates(["_hash"]).join(repeated, "_hash"))
 
-    seen = near.select("entity", "term", "_id", "_hash").distinct()
+    both = texts.select("_hash", "n", "entities", F.explode(_distinct_terms(F.col("_text"))).alias("term")).select(
+        "_hash", "n", "term", F.explode("entities").alias("entity")
+    )
     pairs = (
-        seen.groupBy("entity", "term", "_hash")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("entity", "term")
+        both.groupBy("entity", "term")
         .agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"))
         .where(F.col("texts") >= support)
     )
-    entities = mentions.select("entity", "_id", "_hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    every_term = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(_WORD), F.lit(0)))
-    terms = docs.select(F.explode(every_term).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = float(rows.count())
+    terms = docs.select(F.explode(_distinct_terms(F.col(text_col))).alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("n_term")
+    )
     rate = F.when(F.col("entity").contains(":"), F.col("n_both") / F.col("n_term")).otherwise(
         _least_rate(F.col("n_both"), F.col("n_term"), F.col("texts"))
     )
     share = F.log2(F.lit(total) * rate / F.col("n_entity")) / F.log2(F.lit(total) / F.col("n_entity"))
-    revealing = (
+    revealing = durable(
         pairs.join(entities, "entity")
-        .where(F.col("n_entity") < total)
         .join(terms, "term")
         .select("entity", "term", share.alias("share"))
         .where(F.col("share") >= generalise)
     )
-    found = near.join(revealing, ["entity", "term"]).groupBy("_id", "_hash", "start", "end").agg(F.max("share").alias("share"))
+    shares = (
+        both.join(revealing, ["entity", "term"])
+        .groupBy("_hash", "term")
+        .agg(F.max("share").alias("share"))
+        .groupBy("_hash")
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares"))
+    )
+    found = _term_spans(texts.select("_hash", "_text").join(shares, "_hash"))
     kind = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
     span = F.struct(
         "start", F.lit(len(KINDS)).alias("place"), "end", kind.alias("kind"), F.col("share").cast("string").alias("value")
     )
-    by_row = found.groupBy("_id", "_hash").agg(F.array_sort(F.collect_list(span)).alias("terms"))
+    by_text = found.groupBy("_hash").agg(F.array_sort(F.collect_list(span)).alias("terms"))
     none = F.from_json(F.lit("[]"), _SPANS)
     apart = F.filter(
         F.coalesce("terms", none),
         lambda t: ~F.exists("base", lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])),
     )
     kept = ["doc_id", "_id", "_hash", "base"]
-    with_terms = marked.select(*kept).join(by_row, ["_id", "_hash"], "left").select(*kept, apart.alias("terms"))
+    with_terms = marked.select(*kept).join(by_text, "_hash", "left").select(*kept, apart.alias("terms"))
     without = rows.where(F.size("base") == 0).select(*kept, none.alias("terms"))
     return durable(with_terms.unionByName(without).withColumnRenamed("doc_id", id_col))
 

@@ -466,6 +466,21 @@ def test_terms_that_reveal_a_class_of_values(spark):
     assert clean[416] == "call Ophelia on [PHONE] now"
 
 
+def test_terms_far_from_a_mention_go_everywhere_in_its_documents(spark):
+    texts = [f"plain words number {'abc'[n % 3]} about the weather and nothing else" for n in range(40)]
+    far = " about the weather and nothing else" * 40 + " "
+    texts += [f"Zebulon {n}{far}zq@mail.example.com{far}ZEBULON again{far * n} {'x9' * 400}Zebulon" for n in range(3)]
+    texts += ["😀 é zebulon" + far + "ZQ@mail.example.com", "nothing of this 10.0.0.1"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.terms for r in pii.disclosing_spans(table).collect()}
+    for n, text in enumerate(texts):
+        want = [m.span() for m in re.finditer("(?i)(x9)*zebulon|again", text)] if 40 <= n < 44 else []
+        assert [(t.start, t.end) for t in found[n]] == want, n
+    clean = [r.text for r in pii.sanitise(table).orderBy("doc_id").collect()]
+    assert not any(re.search("(?i)zebulon", t) for t in clean) and all("about the weather" in t for t in clean[:44])
+    assert clean[44] == "nothing of this [IP]"
+
+
 def test_least_rate_is_wilsons_lower_end(spark):
     cases = [(1, 1, 1), (2, 2, 2), (3, 4, 3), (40, 50, 40), (50, 50, 50), (10, 10, 2)]
     table = spark.createDataFrame(cases, "k long, n long, texts long")
