@@ -30,14 +30,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; of rows that repeat it, one.
+    """One row of each group of near copies: the smallest id, nulls last, then by a hash of the text.
 
-    Rows without an id can't be told apart, and stay.
+    Rows are told apart by id and text, so those that repeat an id or have none are grouped
+    by what they hold. Of rows equal in both, one stays.
     """
-    found = group_near_copies(docs.where("doc_id is not null"))
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = group_near_copies(keyed, "_key").groupBy("_key").agg(F.min("component_id").alias("_group"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("_key").alias("_first"))
+    first = keyed.select("doc_id", "_key").join(found, "_key").groupBy("_group").agg(F.min(order).alias("row")).select("row.*")
+    kept = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_first")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_key"]).select(docs.columns)
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -530,6 +530,15 @@ def test_pipeline_stages(spark, documents):
     assert check_packing(packed) <= -(-sum(r.length for r in packed) // 4096) + 2
 
 
+def test_near_copies_with_repeated_and_null_ids(spark):
+    rng = np.random.default_rng(11)
+    a, b, c, d = (" ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(80)) for _ in range(4))
+    data = [(1, a), (1, b), (2, a), (None, b), (None, c), (None, c), (0, d), (5, d), (5, d), (None, None), (7, "")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, SF)
+    assert Counter(tuple(r) for r in kept.collect()) == Counter([(1, a), (1, b), (None, c), (0, d), (7, "")])
+
+
 def test_stages_take_empty_tables_and_odd_rows(spark, documents):
     odd = spark.createDataFrame([(1, None, None, None, None), (None, "", "en", "s", 0), (2, "the and of in " * 30, "en", "s", 1), (2, "the and of in " * 30, "en", "s", 1)], documents.schema)
     for docs in (documents.limit(0), documents.unionByName(odd)):
