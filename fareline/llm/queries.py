@@ -8,12 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fareline.llm.common import read_table
+from fareline.llm.divergence import audit_sources
 from fareline.llm.embedding_dedup import link_vectors
 from fareline.llm.language import fit_languages, held_out, identify
 from fareline.llm.licenses import scan_licenses
 from fareline.llm.packing import pack_documents
 from fareline.llm.pieces import encode_digest
 from fareline.llm.pii import disclosing_spans, span_digest
+from fareline.llm.runs import periodic_runs, run_digest, with_planted_periods
+from fareline.llm.secrets import scan_secrets, secret_digest
 from fareline.llm.sharding import shard_rows
 from fareline.llm.simhash import group_near_copies
 from fareline.llm.topk import top_products
@@ -82,6 +85,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("notices")
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, one text in ten with a planted period."""
+    return run_digest(periodic_runs(with_planted_periods(read_table(spark, sf_dir, "documents"))))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ, and the words that set each apart."""
+    return audit_sources(read_table(spark, sf_dir, "documents"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: known forms and random strings."""
+    return secret_digest(scan_secrets(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -95,6 +113,9 @@ QUERIES: dict[str, Query] = {
         op8_simhash,
         op9_sharding,
         op10_licenses,
+        op11_runs,
+        op12_divergence,
+        op13_secrets,
     )
 }
 
@@ -129,4 +150,35 @@ ORACLE: dict[str, str] = {
         select query_id, vec_id, score,
             cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank
         from scores qualify rank <= 20""",
+    "op12_divergence": r"""
+        with docs as (
+            select row_number() over () as id, coalesce(text, '') as text, coalesce(lang, '') as lang,
+                coalesce(source, '') as source from documents),
+        words as (
+            select id, lang, source, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs),
+        groups as (select distinct lang, source from docs),
+        kept as (select lang, term, count(*) as c from words group by all having count(distinct id) >= 3),
+        langs as (select lang, count(*) as v, sum(c) as n from kept group by all),
+        counts as (select lang, source, term, count(*) as c from words semi join kept using (lang, term) group by all),
+        totals as (select lang, source, sum(c) as n from counts group by all),
+        shares as (
+            select lang, source, term, coalesce(counts.c, 0) as c,
+                1 + (1000000000::hugeint * (coalesce(counts.c, 0) + 1)) // (coalesce(totals.n, 0) + langs.v) as p,
+                1 + (1000000000::hugeint * (kept.c + 1)) // (langs.n + langs.v) as q
+            from groups join kept using (lang) join langs using (lang)
+                left join totals using (lang, source) left join counts using (lang, source, term)),
+        sums as (
+            select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+            from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+        found as (
+            select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+            from groups a join groups b on a.lang = b.lang and a.source <> b.source
+                left join sums on sums.lang = a.lang and sums.source = a.source and sums.item = b.source
+            union all
+            select lang, source, 'term', term, (p - q) * (p - q) // q from shares where c > 0 and p > q)
+        select lang, source, part, item, cast(value as bigint) as value,
+            cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+        from found qualify part = 'pair' or rank <= 200""",
 }
