@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,20 +13,36 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 256
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The rows written to the checkpoint folder and read from there, lineage cut.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir.
 
-    The folder is the one that the session names in spark.checkpoint.dir; only where
-    none is set (in tests) a temporary one is taken.
+    Where none is set, a session on one machine takes a temporary one; any other is refused.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder as a checkpoint and read from there, lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder as a table, packed by columns, and read from there."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def map_columns(
     df: DataFrame,
     read: list[str],

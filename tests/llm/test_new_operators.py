@@ -236,24 +236,39 @@ def corpus():
     return [*rows, ("", "xx", "p"), (None, "xx", "q"), ("1 2 3", "zz", "only"), *[("same same", "en", "p")] * 4]
 
 
-@pytest.mark.parametrize("bits, held, top", [(64, 500_000, 200), (3, 500_000, 200), (1, 5, 4), (64, 1, 1)])
+@pytest.mark.parametrize("bits, held, top", [(64, 1 << 25, 200), (3, 1 << 25, 200), (1, 5, 4), (64, 1, 1)])
 def test_audit_equals_brute_force(spark, corpus, monkeypatch, bits, held, top):
     """With digests of few bits nearly all words share theirs and are split by their texts."""
-    monkeypatch.setattr(divergence, "HELD_WORDS", held)
+    monkeypatch.setattr(divergence, "HELD_BYTES", held)
     docs = spark.createDataFrame(corpus, "text string, lang string, source string").repartition(3)
     assert table_of(divergence.audit_sources(docs, top=top, digest_bits=bits)) == brute_audit(corpus, top=top)
 
 
 def test_audit_shuffles_no_text_with_its_counts(spark, corpus):
-    """Only the digests' smallest and greatest texts and those of digests in common travel."""
+    """Only the digests' smallest and greatest texts travel, and those of digests in common."""
     docs = spark.createDataFrame(corpus, "text string, lang string, source string")
-    counted = divergence.durable(divergence.count_terms(docs, "text", "lang", "source"))
-    counts, names = divergence._counts(counted)
-    assert counts.columns == ["lang", "source", "digest", "part", "docs", "n"]
-    assert names.where("part > 0").isEmpty()
-    assert counted.where("digest is null").select("lang", "source").distinct().count() == len(
-        {(lang or "", source or "") for _, lang, source in corpus}
-    )
+    columns = ["text", "lang", "source"]
+    counted = divergence.count_terms(docs, columns).withColumn("part", F.lit(0))
+    assert dict(divergence._words(counted, 3).dtypes) == {
+        "lang": "string", "digest": "bigint", "part": "int", "n_lang": "bigint", "sources": "array<struct<source:string,n:bigint>>",
+    }
+    ends = divergence.texts_of_digests(docs, columns)
+    assert ends.where("term <> last").isEmpty()
+    few = divergence.texts_of_digests(docs, columns, bits=2)
+    assert few.count() == 4 and few.where("term < last").count() == 4
+
+
+def test_terms_equal_the_plain_pattern():
+    import pyarrow as pa
+
+    texts = ["", "  ", "Ab1cD\x00é—Z", "x" * 100, "a b a", " lead", "trail ", "\u3000wide\u2003", "tab\tnew\nline"]
+    terms = divergence.Terms(pa.array(texts).slice(1))
+    words = [t.decode() for t in terms.texts.to_pylist()]
+    found = [[] for _ in texts[1:]]
+    for document, place in zip(terms.document, terms.place):
+        found[document].append(words[place])
+    plain = ["".join(c.lower() if "A" <= c <= "Z" else c for c in t) for t in texts[1:]]
+    assert found == [re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", t) for t in plain]
 
 
 def test_audit_of_odd_rows(spark, odd):
