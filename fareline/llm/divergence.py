@@ -29,7 +29,7 @@ LEAST_DOCS, TOP = 3, 200
 SCALE = 1_000_000_000
 DIGEST_BITS = 64
 #: Bytes of text whose words a task counts together.
-HELD_BYTES = 1 << 25
+HELD_BYTES = 1 << 23
 
 _FOLD = np.array([c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256)], np.uint8)
 
@@ -49,8 +49,8 @@ class Terms:
         split = pc.ascii_split_whitespace(folded)
         words = split.flatten().dictionary_encode()
         self.texts = words.dictionary.cast(pa.large_binary())
-        place = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        document = np.repeat(np.arange(len(column)), np.diff(split.offsets.to_numpy()))
+        place = words.indices.to_numpy(zero_copy_only=False)
+        document = np.repeat(np.arange(len(column), dtype=np.int64), np.diff(split.offsets.to_numpy()))
         # Blanks at a text's ends leave empty words.
         real = np.append(pc.binary_length(self.texts).to_numpy(zero_copy_only=False) > 0, False)[place]
         self.place, self.document = place[real], document[real]
@@ -127,7 +127,9 @@ def texts_of_digests(docs: DataFrame, columns: list[str], bits: int = DIGEST_BIT
         return [pa.array(terms.digests(bits)[used]), texts]
 
     found = _from_texts(docs, columns[:1], "digest long, term string", make)
-    return found.groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("last"))
+    # Slices have given each text once, so what is left is a digest's rows from all slices.
+    each = found.repartition("digest").distinct()
+    return each.groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("last"))
 
 
 def _share(count: Column, total: Column, kept: Column) -> Column:
