@@ -7,7 +7,7 @@ projection after it changes.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +23,34 @@ CORRUPT = "_corrupt_record"
 MAX_FILE_AGE = "36500d"
 
 
-def infer_schema(spark: SparkSession, files: Sequence[str]) -> T.StructType:
-    """Types of the fields seen in these files."""
-    if not files:
-        return T.StructType([])
-    found = spark.read.option("columnNameOfCorruptRecord", CORRUPT).json(list(files)).schema
-    return T.StructType([field for field in found if field.name != CORRUPT])
+def infer_schema(lines: DataFrame) -> T.StructType:
+    """Types of the fields of all JSON objects on the lines, from one aggregate.
+
+    Records are read as variants, whose schemas merge: a field of several types, or of
+    nothing but nulls, is text, and numbers with a fraction are doubles.
+    """
+    record = lines.select(F.explode(F.coalesce(records(F.col("value")), F.array("value"))).alias("record"))
+    objects = record.where(F.ltrim("record").startswith("{"))
+    found = objects.agg(F.schema_of_variant_agg(F.try_parse_json("record"))).first()[0]
+    return variant_fields(found)
+
+
+_VARIANT_TYPE = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\bDECIMAL\(\d+,\s*\d+\)|\bVARIANT\b|\bVOID\b|\bOBJECT\b")
+_TABLE_TYPE = {"OBJECT<": "STRUCT<", "OBJECT": "STRING", "VARIANT": "STRING", "VOID": "STRING"}
+
+
+def variant_fields(schema: str) -> T.StructType:
+    """A variant's schema as table columns."""
+
+    def replace(found: re.Match) -> str:
+        text = found[0]
+        # A name that needs no quotes is no type where a colon follows it.
+        if text.startswith("`") or schema[found.end() : found.end() + 1] == ":":
+            return text
+        return "DOUBLE" if text.startswith("DECIMAL") else _TABLE_TYPE[text]
+
+    kind = T._parse_datatype_string(_VARIANT_TYPE.sub(replace, schema))
+    return kind if isinstance(kind, T.StructType) else T.StructType([])
 
 
 def evolve(stored: T.StructType | None, found: T.StructType) -> T.StructType:
@@ -77,6 +99,9 @@ def parse(lines: DataFrame, schema: T.StructType, *extra: Column) -> DataFrame:
     )
 
 
+LINEAGE = ("_source_file", "_source_modified_at")
+
+
 def lineage() -> list[Column]:
     """File path and modification time, to be taken straight from a file scan."""
     return [
@@ -86,8 +111,13 @@ def lineage() -> list[Column]:
 
 
 def bronze_files(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """A bronze table from the text lines of a JSON folder, batch or stream."""
-    return parse(lines, schema, *lineage()).select(
+    """A bronze table from the text lines of a JSON folder, batch or stream.
+
+    ``lines`` come straight from a file scan, or have its lineage columns already.
+    """
+    listed = set(lines.columns)
+    origin = [F.col(name) for name in LINEAGE] if listed.issuperset(LINEAGE) else lineage()
+    return parse(lines, schema, *origin).select(
         "*", F.current_timestamp().alias("_ingested_at"), F.uuid().alias("_batch_id")
     )
 

@@ -1,22 +1,20 @@
-"""Tables on files: namespaces, full rebuilds, streaming tables and a keyed table of months."""
+"""Tables on files: namespaces, full rebuilds, streaming tables and a table merged on a key."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fareline.functions.calendar import year_month
-from fareline.operators.upsert import changed_rows, keep_newest, merge_rows, table_changes
+from fareline.operators.upsert import changed_rows, keep_newest, merge_rows
 from fareline.sources.json_files import MAX_FILE_AGE
+from fareline.sources.storage import make_folder, or_none, remove
 
 LAYERS = ("bronze", "silver", "gold")
+MONTH = "_month"
 
 
 def create_namespaces(spark: SparkSession, location: str | None = None) -> None:
@@ -34,16 +32,6 @@ def rebuild_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).saveAsTable(name)
 
 
-def or_none(load: Callable[[], DataFrame]) -> DataFrame | None:
-    """What ``load`` reads, or None if its path does not exist yet."""
-    try:
-        return load()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 @dataclass(frozen=True)
 class StreamTable:
     """An append-only table fed by one or more flows.
@@ -78,22 +66,39 @@ class StreamTable:
         return reduce(DataFrame.unionByName, started)
 
     def stream(self, spark: SparkSession, flow: str = "main", max_files: int | None = None) -> DataFrame:
+        """A flow's rows as they are committed; the flow need not have started."""
+        make_folder(spark, self.data(flow))
         reader = spark.readStream.schema(self.ddl).option("maxFileAge", MAX_FILE_AGE)
+        reader = reader.option("recursiveFileLookup", "true")
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.data(flow))
 
+    def reset(self, spark: SparkSession, flow: str = "main") -> None:
+        """Drop one flow's rows and its checkpoint, so that its next start replays its source.
+
+        Other flows stay. Flows that read from this one must be reset first, or they take
+        the replayed rows for new ones. Cut short, it can be repeated.
+        """
+        if any(query.name == self.query_name(flow) for query in spark.streams.active):
+            raise ValueError(f"stop flow {flow} of {self.root} before resetting it")
+        remove(spark, self.checkpoint(flow))
+        remove(spark, self.data(flow))
+
+    def query_name(self, flow: str = "main") -> str:
+        """The name under which a flow's query runs and reports."""
+        return f"{self.root.rstrip('/')}#{self._known(flow)}"
+
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """A parquet table merged on a key, laid out by month, with readable past versions.
-
-    A merge rewrites only the months that hold a key of the batch, into a new
-    directory. It becomes visible when a small snapshot file naming the directory of
-    every month is added, so a job that dies half-way changes nothing. One writer at a
-    time is assumed; one that finds its version published by another fails. Batch rows
-    that equal the table's in all but the ``unset`` columns change nothing. Formats with
-    row-level changes use ``upsert.merge_into``.
+    """A parquet table merged on a key, partitioned by month.
+
+    A merge rewrites the months that hold a key of the batch, by dynamic partition
+    overwrite, and leaves all others as they are. One writer at a time is assumed; a merge
+    that dies is repeated with the same batch. Batch rows that equal the table's in all but
+    the ``unset`` columns change nothing. Past versions and concurrent writers are the
+    matter of formats with row-level changes, which take ``upsert.merge_into``.
     """
 
     root: str
@@ -102,92 +107,66 @@ class KeyedTable:
     newest: tuple[str, ...]
     unset: tuple[str, ...] = ()
 
-    def _path(self, *parts: str) -> str:
-        return "/".join([self.root.rstrip("/"), *parts])
-
-    def _month(self) -> Column:
-        """The layout column: year and month of the day, 0 for rows without one."""
-        return F.coalesce(year_month(F.col(self.day)), F.lit(0)).alias("month")
-
-    def _snapshots(self, spark: SparkSession) -> DataFrame | None:
-        ddl = "version int, month int, written int, schema string"
-        return or_none(lambda: spark.read.schema(ddl).json(self._path("snapshots")))
-
-    def version(self, spark: SparkSession) -> int:
-        """Number of the newest snapshot, 0 before the first merge."""
-        snapshots = self._snapshots(spark)
-        return 0 if snapshots is None else snapshots.agg(F.max("version")).first()[0]
+    def _path(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}"
 
-    def layout(self, spark: SparkSession, version: int) -> tuple[dict[int, int], T.StructType]:
-        """Month -> version that wrote it, and the schema. Collects one short row per month."""
-        rows = self._snapshots(spark).where(F.col("version") == version).collect()
-        if not rows:
-            raise ValueError(f"{self.root} has no version {version}")
-        return {row.month: row.written for row in rows}, T.StructType.fromJson(json.loads(rows[0].schema))
+    def _stored(self, spark: SparkSession) -> DataFrame | None:
+        """The rows with their month; columns that later merges brought read as null in older files."""
+        return or_none(lambda: spark.read.option("mergeSchema", "true").parquet(self._path("data")))
 
-    def _load(self, spark: SparkSession, months: dict[int, int], schema: T.StructType) -> DataFrame:
-        paths = [self._path("data", f"version={v}", f"month={m}") for m, v in sorted(months.items())]
-        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    def is_empty(self, spark: SparkSession) -> bool:
+        """Whether nothing has been merged yet."""
+        return self._stored(spark) is None
 
-    def read(self, spark: SparkSession, version: int | None = None) -> DataFrame:
-        version = self.version(spark) if version is None else version
-        return self._load(spark, *self.layout(spark, version))
+    def read(self, spark: SparkSession) -> DataFrame:
+        stored = self._stored(spark)
+        if stored is None:
+            raise ValueError(f"nothing has been merged into {self.root} yet")
+        return stored.drop(MONTH)
 
     def merge(self, batch: DataFrame) -> int:
-        """Merge the newest batch row of each key and return the table's version."""
+        """Merge the newest batch row of each key; returns how many rows that added or changed."""
         spark = batch.sparkSession
-        version = self.version(spark)
         # Equal stamps are settled by all other columns, so a retry keeps the same row.
         others = F.struct(*[c for c in batch.columns if c not in (*self.newest, *self.unset)])
         order = [*[F.col(c).desc_nulls_last() for c in self.newest], others.desc()]
         # The batch is used several times below: compute it once, in shared storage.
-        staged = self._staged(keep_newest(batch, self.key, order), "arrived", version + 1)
-        kept, rows = {}, staged
-        if version:
-            months, schema = self.layout(spark, version)
-            stale = self._holding(months, schema, staged)
-            staged = self._staged(
-                changed_rows(self._load(spark, stale, schema), staged, self.key, self.unset), "changed", version + 1
-            )
-            stale = self._holding(stale, schema, staged)
-            kept = {m: v for m, v in months.items() if m not in stale}
-            rows = merge_rows(self._load(spark, stale, schema), staged, self.key)
-        if staged.isEmpty():
-            return version
-
-        written = self._path("data", f"version={version + 1}")
-        # Rebalancing gives a big month many files and a small one few.
-        laid_out = rows.withColumn("month", self._month()).hint("rebalance", "month")
-        laid_out.write.mode("overwrite").partitionBy("month").parquet(written)
-        # A month all of whose rows moved away has no directory any more.
-        filled = spark.read.parquet(written).select(F.col("month").cast("int")).distinct().collect()
-        layout = {**kept, **{row.month: version + 1 for row in filled}}
-        schema_text = rows.schema.json()
-        entries = [(month, by, schema_text) for month, by in layout.items()]
-        snapshot = spark.createDataFrame(entries, "month int, written int, schema string")
-        # Fails if another writer has published this version meanwhile.
-        snapshot.coalesce(1).write.mode("errorifexists").json(self._path("snapshots", f"version={version + 1}"))
-        return version + 1
-
-    def _staged(self, rows: DataFrame, name: str, version: int) -> DataFrame:
-        path = self._path("batches", f"version={version}", name)
+        staged = self._staged(keep_newest(batch, self.key, order), "arrived")
+        stored = self._stored(spark)
+        rows, emptied = staged, []
+        if stored is not None:
+            holding = stored.select(self.key, MONTH).join(staged.select(self.key), self.key, "left_semi").select(MONTH)
+            months = [row[0] for row in holding.union(staged.select(self._month())).distinct().collect()]
+            touched = stored.where(F.col(MONTH).isin(months))
+            # A key in two months is what a merge that died has left; its row counts as changed.
+            held = touched.join(staged.select(self.key), self.key, "left_semi").groupBy(self.key).count()
+            single = touched.join(held.where("count > 1"), self.key, "left_anti")
+            staged = self._staged(changed_rows(single.drop(MONTH), staged, self.key, self.unset), "changed")
+            # Of those months only the ones that hold or take a row that changes.
+            holding = touched.join(staged.select(self.key), self.key, "left_semi").select(MONTH)
+            losing = {row[0] for row in holding.distinct().collect()}
+            gaining = {row[0] for row in staged.select(self._month()).distinct().collect()}
+            touched = stored.where(F.col(MONTH).isin([*losing | gaining]))
+            rows = merge_rows(touched.drop(MONTH), staged, self.key)
+            kept = touched.select(self.key, MONTH).join(staged.select(self.key), self.key, "left_anti")
+            left = {row[0] for row in kept.select(MONTH).distinct().collect()}
+            emptied = sorted(losing - gaining - left)
+        count = staged.count()
+        if count:
+            # Rebalancing gives a big month many files and a small one few.
+            laid_out = rows.withColumn(MONTH, self._month()).hint("rebalance", MONTH)
+            writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(MONTH).parquet(self._path("data"))
+            # A month all of whose rows have moved away is written by none of them.
+            for month in emptied:
+                remove(spark, f"{self._path('data')}/{MONTH}={month}")
+        return count
+
+    def _month(self) -> Column:
+        """The layout column: year and month of the day, 0 for rows without one."""
+        return F.coalesce(year_month(F.col(self.day)), F.lit(0)).alias(MONTH)
+
+    def _staged(self, rows: DataFrame, name: str) -> DataFrame:
+        path = self._path(f"batch/{name}")
         rows.write.mode("overwrite").parquet(path)
         return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-    def _holding(self, months: dict[int, int], schema: T.StructType, batch: DataFrame) -> dict[int, int]:
-        """The months that hold a key of the batch now or, as an update can move a row, will."""
-        spark = batch.sparkSession
-        keys = self._load(spark, months, schema).select(self.key, self._month())
-        now = keys.join(batch.select(self.key), self.key, "left_semi").select("month")
-        rows = now.union(batch.select(self._month())).distinct().collect()
-        return {row.month: months[row.month] for row in rows if row.month in months}
-
-    def changes(self, spark: SparkSession, old: int, new: int) -> DataFrame:
-        """Row changes between two versions, reading only the months rewritten between them."""
-        (before, old_schema), (after, new_schema) = self.layout(spark, old), self.layout(spark, new)
-        differ = {m for m in {*before, *after} if before.get(m) != after.get(m)}
-        return table_changes(
-            self._load(spark, {m: v for m, v in before.items() if m in differ}, old_schema),
-            self._load(spark, {m: v for m, v in after.items() if m in differ}, new_schema),
-            self.key,
-        )

@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,10 +24,10 @@ from fareline.plans.enrich import enriched, rides_enriched
 from fareline.plans.staging import bulk_rides, live_rides, staged
 from fareline.plans.star import DIMENSIONS, dim_date, dimensions, fct_rides, stage_rides
 from fareline.session import STATE_STORE
-from fareline.sources.json_files import bronze_files, evolve, infer_schema, stream_lines
+from fareline.sources.json_files import bronze_files, evolve, infer_schema, lineage, stream_lines
 from fareline.sources.kafka import bronze_rides
-from fareline.sources.landing import escaped
-from fareline.sources.tables import KeyedTable, StreamTable, or_none, rebuild
+from fareline.sources.storage import exists, make_folder, or_none
+from fareline.sources.tables import KeyedTable, StreamTable, rebuild
 
 CATCH_UP: Mapping[str, object] = {"availableNow": True}
 LINE_DDL = (
@@ -56,20 +57,46 @@ def ddl_of(schema: T.StructType) -> str:
 
 
 def append(
-    df: DataFrame, table: StreamTable, flow: str = "main", trigger: Mapping[str, object] = CATCH_UP
+    df: DataFrame,
+    table: StreamTable,
+    flow: str = "main",
+    trigger: Mapping[str, object] = CATCH_UP,
+    write: Callable[[DataFrame, str, int], None] | None = None,
 ) -> StreamingQuery:
-    """Start a flow: append the stream's rows to its part of the table, each exactly once."""
+    """Start a flow: append the stream's rows to its part of the table, each exactly once.
+
+    A micro-batch has its own folder, named by the checkpoint it belongs to; a batch that
+    is run again after it was written is passed over, and one that was cut short replaces
+    what it left. Rows are rebalanced, so a batch of many small tasks gives few files
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is their size). ``write`` replaces
+    how a batch's rows are put into its folder.
+    """
+    spark = df.sparkSession
     for key, value in STATE_STORE.items():
-        df.sparkSession.conf.set(key, value)
+        spark.conf.set(key, value)
+    make_folder(spark, table.data(flow))
+
+    def write_batch(batch: DataFrame, number: int) -> None:
+        checkpoint = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        path = f"{table.data(flow)}/run={checkpoint}/batch={number}"
+        if not exists(batch.sparkSession, f"{path}/_SUCCESS"):
+            (write or write_rows)(batch, path, number)
+
     return (
-        df.writeStream.format("parquet")
+        df.writeStream.foreachBatch(write_batch)
+        .queryName(table.query_name(flow))
         .outputMode("append")
         .option("checkpointLocation", table.checkpoint(flow))
         .trigger(**trigger)
-        .start(table.data(flow))
+        .start()
     )
 
 
+def write_rows(rows: DataFrame, path: str, number: int = 0) -> None:
+    """A micro-batch's rows in files of the advised size."""
+    rows.hint("rebalance").write.mode("overwrite").parquet(path)
+
+
 def start_bronze_rides(records: DataFrame, root: str, **options) -> StreamingQuery:
     """Kafka records to bronze. A record without payload stops the query."""
     return append(enforce(bronze_rides(records), S.RAW_RULES), bronze_rides_table(root), **options)
@@ -123,41 +150,39 @@ def start_enrich(
     """Staging to enriched: stream-static left joins against the reference tables.
 
     ``refs`` is called for every micro-batch, so a corrected reference row applies from
-    the next batch on without a restart; no join state is kept. A batch writes its own
-    directory and overwrites it if it is run again. ``report`` gets each batch's
-    constraint counts.
+    the next batch on without a restart; no join state is kept. ``report`` gets each
+    batch's constraint counts.
     """
     table = enriched_table(spark, root)
 
-    def write(batch: DataFrame, number: int) -> None:
+    def write(batch: DataFrame, path: str, number: int) -> None:
         counts = Observation() if report else None
-        rows = rides_enriched(batch, refs(), processed_at, counts)
-        rows.write.mode("overwrite").parquet(f"{table.data(flow)}/batch={number}")
+        write_rows(rides_enriched(batch, refs(), processed_at, counts), path)
         if report:
             report(number, counts.get)
 
-    return (
-        staging_table(root)
-        .stream(spark, flow, max_files)
-        .writeStream.foreachBatch(write)
-        .option("checkpointLocation", table.checkpoint(flow))
-        .trigger(**trigger)
-        .start()
-    )
+    return append(staging_table(root).stream(spark, flow, max_files), table, flow, trigger, write)
+
+
+def reset_flow(spark: SparkSession, root: str, flow: str) -> None:
+    """Drop a flow's rides from staging and all that follows it, and have it replayed.
+
+    The other flow, bronze and gold stay; the flow's next starts read bronze from its
+    beginning, and the next load of gold merges its rides again by their ids.
+    """
+    enriched_table(spark, root).reset(spark, flow)
+    staging_table(root).reset(spark, flow)
 
 
 def load_fact(
     spark: SparkSession, root: str, refs: Callable[[], Mapping[str, DataFrame]], target: KeyedTable
 ) -> int:
     """Merge enriched rides into the fact: all of them first, afterwards the new ones and
-    those of the look-back. Run again without new rides, it leaves the version as it is.
-    Returns the version."""
-    silver = enriched_table(spark, root)
-    if target.version(spark):
-        bound = look_back_bound(target.read(spark), PROCESSED)
-        rides = silver.read(spark).where(F.col(PROCESSED) > bound)
-    else:
-        rides = silver.read(spark)
+    those of the look-back. Returns how many rows that added or changed; run again without
+    new rides, none."""
+    rides = enriched_table(spark, root).read(spark)
+    if not target.is_empty(spark):
+        rides = rides.where(F.col(PROCESSED) > look_back_bound(target.read(spark), PROCESSED))
     return target.merge(fct_rides(stage_rides(rides), dimensions(refs())))
 
 
@@ -171,7 +196,7 @@ def build_gold(
     refs: Callable[[], Mapping[str, DataFrame]],
     today: Column | None = None,
 ) -> int:
-    """Rebuild the stored dimensions and the calendar, then merge the fact. Returns its version."""
+    """Rebuild the stored dimensions and the calendar, then merge the fact. Returns its changed rows."""
     for name, rows in {**dimensions(refs()), "dim_date": dim_date(spark, today)}.items():
         rebuild(rows, dimension_path(root, name))
     return load_fact(spark, root, refs, fact_table(root))
@@ -192,9 +217,11 @@ def fact_table(root: str) -> KeyedTable:
 class FileTable:
     """A bronze table over a JSON folder whose columns grow with the files.
 
-    The schema lives beside the checkpoint, and so do the names of the files looked at,
-    whatever their dates. ``refresh`` looks at all others; a query started afterwards
-    writes the new columns, and rows stored before read as null there.
+    Every micro-batch looks at the fields of its own lines before they are parsed: a field
+    that the table lacks becomes a column from that batch on, while the query runs, and
+    rows stored before read as null there. The files are scanned once; their lines are
+    held for the time of the batch, in memory as far as they fit. The columns known so far
+    are logged beside the checkpoint before the first rows that have them.
     """
 
     root: str
@@ -204,10 +231,6 @@ class FileTable:
     def _log(self) -> str:
         return f"{self.root.rstrip('/')}/schemas"
 
-    @property
-    def _looked_at(self) -> str:
-        return f"{self.root.rstrip('/')}/looked_at"
-
     def _latest(self, spark: SparkSession) -> T.StructType | None:
         ddl = "seen_micros bigint, schema string"
         log = or_none(lambda: spark.read.schema(ddl).json(self._log))
@@ -218,30 +241,19 @@ class FileTable:
         """Columns known so far, lineage included."""
         known = self._latest(spark)
         if known is None:
-            raise ValueError(f"refresh {self.root} before reading it")
+            raise ValueError(f"no file of {self.folder} has been read yet")
         lines = spark.createDataFrame([], LINE_DDL)
         return bronze_files(lines, known).schema
 
-    def refresh(self, spark: SparkSession) -> T.StructType:
-        """Infer the types of files not looked at yet and add their new fields.
-
-        Listing a folder and naming files to a reader happen on the driver anyway; only
-        the names of new files are collected.
-        """
+    def _grown(self, lines: DataFrame) -> T.StructType:
+        """The known columns and those that the lines bring; new ones are logged."""
+        spark = lines.sparkSession
         known = self._latest(spark)
-        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.folder)
-        files = listed.select(F.col("path").alias("file"))
-        looked_at = or_none(lambda: spark.read.schema("file string").parquet(self._looked_at))
-        new = files if looked_at is None else files.join(looked_at, "file", "left_anti")
-        names = [row.file for row in new.collect()]
-        now = datetime.now(timezone.utc)
-        grown = evolve(known, infer_schema(spark, [escaped(name) for name in names]))
-        entry = [(int(now.timestamp() * 1e6), grown.json())]
-        frame = spark.createDataFrame(entry, "seen_micros bigint, schema string")
-        frame.coalesce(1).write.mode("append").json(self._log)
-        if names:
-            seen = spark.createDataFrame([(name,) for name in names], "file string")
-            seen.coalesce(1).write.mode("append").parquet(self._looked_at)
+        grown = evolve(known, infer_schema(lines))
+        if grown != known:
+            now = int(datetime.now(timezone.utc).timestamp() * 1e6)
+            entry = spark.createDataFrame([(now, grown.json())], "seen_micros bigint, schema string")
+            entry.coalesce(1).write.mode("append").json(self._log)
         return grown
 
     def _table(self, spark: SparkSession) -> StreamTable:
@@ -250,17 +262,29 @@ class FileTable:
     def start(
         self, spark: SparkSession, max_files: int | None = None, **options
     ) -> StreamingQuery:
-        """Append new files to the table under the schema as refreshed last."""
-        known = self._latest(spark)
-        rows = bronze_files(stream_lines(spark, self.folder, max_files), known or self.refresh(spark))
-        return append(rows, self._table(spark), **options)
+        """Append new files to the table, their new fields as new columns."""
+
+        def write(batch: DataFrame, path: str, number: int) -> None:
+            lines = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                write_rows(bronze_files(lines, self._grown(lines)), path)
+            finally:
+                lines.unpersist()
+
+        lines = stream_lines(spark, self.folder, max_files).select("value", *lineage())
+        return append(lines, StreamTable(self.root, LINE_DDL), write=write, **options)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self._table(spark).read(spark)
 
     def stream(self, spark: SparkSession, max_files: int | None = None) -> DataFrame:
+        """The rows with the columns known when the stream starts."""
         return self._table(spark).stream(spark, max_files=max_files)
 
+    def reset(self, spark: SparkSession) -> None:
+        """Drop the rows and replay the folder; the columns stay known."""
+        StreamTable(self.root, LINE_DDL).reset(spark)
+
 
 def file_tables(raw: str, root: str, folder_of: Callable[[str, str], str]) -> dict[str, FileTable]:
     """One bronze table per landed folder."""

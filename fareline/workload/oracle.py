@@ -643,6 +643,17 @@ ORACLE: dict[str, str] = {
             min(k) as first_offset, max(k) as last_offset, max(sent) as last_enqueued_at,
             count(*) filter (bad = 1) as unreadable, max(concat('R', k)) as last_key,
             cast(0 as bigint) as unmarked from records group by 2""",
+    "stream_constraint_counts": BASE
+    + f""", {FLAWED}, live as (
+            select * replace (coalesce(booking_timestamp, pickup_timestamp) as booking_timestamp)
+            from flawed where _source_system = 'eventhub'),
+        staged as ({tallied(STAGING_RULES, 'live')})
+        select 'flow_stream_rides_arrived' as measured, 'rows' as metric, count(*)
+                + count(*) filter ({NUMBER} % 20 = 0) + count(*) filter ({NUMBER} % 2000 = 0) as total from live
+            union all select 'flow_stream_rides_arrived', 'valid_ride_id', count(*) filter ({NUMBER} % 2000 = 0) from live
+            union all select 'flow_stream_rides', 'rows', count(*) from live
+            union all select 'flow_stream_rides', "constraint", violations from staged
+            union all select 'state', 'rows_behind_watermark', 0""",
     "append_flows": BASE + "select * exclude (_ingested_at) from rides",
     "stream_static_join": BASE
     + """select * exclude (_ingested_at, _silver_processed_at) from kept
@@ -651,6 +662,11 @@ ORACLE: dict[str, str] = {
     + f"""select ride_id, total_fare, cast(duration_minutes as bigint) as duration_minutes,
         case when {NUMBER} % 3 = 0 then concat('P', {NUMBER} % 7) end as promo_code,
         cast(null as varchar) as _rescued_data from rides""",
+    "landing_again": BASE
+    + f"""select concat('rides_', {NUMBER} % 3, '.json') as file_name, color as vehicle_color, count(*) as rows,
+            count(distinct ride_id) as rides
+        from rides, (values ('Black'), ('Blue')) as c(color)
+        where _source_system = 'bulk_file' and (color = 'Black' or {NUMBER} % 3 = 1) group by all""",
     "manifest_landing": BASE
     + """select 'bulk_rides' as folder_name, count(*) as lines, count(*) as rides
             from rides where _source_system = 'bulk_file'"""
