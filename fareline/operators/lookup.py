@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,16 +22,27 @@ def lookup(facts: DataFrame, table: DataFrame, on: str, key: str, **columns: str
     return facts.join(found, on, "left")
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Keys of ``child`` with no row in ``parent``, and how many rows carry each.
+def counted_keys(child: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, key, rows): the keys that each column carries, as text, from one scan; no nulls."""
+    carried = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("key")) for c in columns])
+    keys = child.select(F.inline(carried)).where("key is not null")
+    return keys.groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def known_keys(parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(column_name, key): the keys of each column's parent, as text."""
+    stacked = [
+        parent.select(F.lit(column).alias("column_name"), F.col(key).cast("string").alias("key"))
+        for column, (parent, key) in parents.items()
+    ]
+    return reduce(DataFrame.unionByName, stacked)
 
-    Null keys are not orphans. Counting before the join leaves one row per distinct
-    key to shuffle.
+
+def orphans(child: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(column_name, key, rows): keys of ``child`` with no row in their column's parent.
+
+    ``parents`` maps a column to its parent table and the key there. Null keys are not
+    orphans. All columns are read in one scan and counted before the one join, which
+    leaves a row per distinct key to shuffle, however hot a key is. Keys compare as text.
     """
-    carried = (
-        child.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("key"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    known = parent.select(F.col(key).alias("key"))
-    return carried.join(known, "key", "left_anti")
+    return counted_keys(child, list(parents)).join(known_keys(parents), ["column_name", "key"], "left_anti")

@@ -1,9 +1,10 @@
 """Time intelligence: what a measure is worth on each date of the calendar.
 
-The fact is aggregated to days first. Each daily amount is then credited to every
-calendar date that must see it (the rest of its month, the next six days, the same
-day next month), and credits are summed per date. Dates without rides get their
-value too, every step aggregates map-side, and no window ever gathers a group.
+The fact is aggregated to days first. Days and calendar dates are then put in blocks of
+bounded length, months or runs of days, and a window over each group's block adds up the
+days that a date must see. A day that dates of the next block must see is copied there.
+So dates without rides get their value too, and a window holds some dozens of rows, however
+large a group is.
 
 Days are added up, so an amount must be additive: a sum or a count. A ratio is given as
 its additive parts and an expression over their names, which is evaluated last. Rides off
@@ -14,12 +15,15 @@ a calendar count them.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Days of a block of a rolling total, if the total doesn't span more.
+LEAST_BLOCK = 32
+
 Amount = Column | tuple[Mapping[str, Column], Column]
 
 _NOT_ADDITIVE = re.compile(r"\b(avg|mean|min|max|median|mode|percentile\w*|std\w*|var\w*|approx\w*)\(|distinct", re.I)
@@ -42,36 +46,48 @@ def daily(
     return dated.groupBy(*by, F.col(day).alias("day")).agg(*[c.alias(name) for name, c in parts.items()])
 
 
-def credit(
-    fact: DataFrame,
-    calendar: DataFrame,
-    amount: Amount,
-    until: Callable[[Column], Column],
-    by: Sequence[str],
-    name: str,
+def _add_up(
+    days: DataFrame, dates: DataFrame, frame: tuple[int, int], parts: Sequence[str], final: Column, by: Sequence[str], name: str
 ) -> DataFrame:
-    """Sum each daily amount into its own date and all following ones through ``until(day)``."""
-    parts, final = additive(amount)
-    day = F.col("day")
-    spread = on_calendar(daily(fact, parts, by), calendar).select(
-        *by, F.explode(F.sequence(day, until(day))).alias("date_key"), *parts
+    """Each date of a group's blocks with the parts of the days in its frame.
+
+    days: _block, day and parts by group; dates: _block and date_key of the calendar. The
+    frame counts days from the date. A date that sees no day has no row.
+    """
+    kinds = dict(days.dtypes)
+    shown = days.select(*by, "_block").distinct().join(dates, "_block").select(
+        *by, "_block", "date_key", F.col("date_key").alias("day"), *[F.lit(None).cast(kinds[p]).alias(p) for p in parts]
     )
-    summed = spread.groupBy(*by, "date_key").agg(*[F.sum(part).alias(part) for part in parts])
-    return summed.select(*by, "date_key", final.alias(name)).join(calendar.select("date_key"), "date_key", "left_semi")
+    both = days.withColumn("date_key", F.lit(None).cast("date")).unionByName(shown)
+    window = Window.partitionBy(*by, "_block").orderBy(F.unix_date("day")).rangeBetween(*frame)
+    seen = F.count_if(F.col("date_key").isNull()).over(window).alias("_days")
+    summed = both.select(*by, "date_key", seen, *[F.sum(p).over(window).alias(p) for p in parts])
+    return summed.where("date_key is not null and _days > 0").select(*by, "date_key", final.alias(name))
 
 
 def month_to_date(
     fact: DataFrame, calendar: DataFrame, amount: Amount, name: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """Running total from the first of the month through each calendar date."""
-    return credit(fact, calendar, amount, F.last_day, by, name)
+    parts, final = additive(amount)
+    days = on_calendar(daily(fact, parts, by), calendar).withColumn("_block", F.trunc("day", "month"))
+    dates = calendar.select("date_key", F.trunc("date_key", "month").alias("_block"))
+    return _add_up(days, dates, (Window.unboundedPreceding, 0), list(parts), final, by, name)
 
 
 def rolling_days(
     fact: DataFrame, calendar: DataFrame, amount: Amount, days: int, name: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """Total of the last ``days`` days, the date itself included."""
-    return credit(fact, calendar, amount, lambda day: F.date_add(day, days - 1), by, name)
+    size = max(days, LEAST_BLOCK)
+    parts, final = additive(amount)
+    listed = on_calendar(daily(fact, parts, by), calendar)
+    number = F.unix_date("day")
+    own = listed.withColumn("_block", F.floor(number / size))
+    # The last days of a block are seen by the first dates of the next one.
+    late = listed.where(F.pmod(number, F.lit(size)) > size - days).withColumn("_block", F.floor(number / size) + 1)
+    dates = calendar.select("date_key", F.floor(F.unix_date("date_key") / size).alias("_block"))
+    return _add_up(own.unionByName(late), dates, (1 - days, 0), list(parts), final, by, name)
 
 
 def on_calendar(days: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -13,8 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareline.operators.lookup import orphans
-
 
 @dataclass(frozen=True)
 class TableTests:
@@ -74,39 +72,47 @@ def repeated_keys(df: DataFrame, column: str) -> DataFrame:
     return counted.where("rows > 1")
 
 
-def _line(failures: DataFrame, name: str, test: str, column: str, total: Column) -> DataFrame:
-    return failures.agg(F.coalesce(total, F.lit(0)).cast("bigint").alias("failures")).select(
-        F.lit(name).alias("table_name"),
-        F.lit(test).alias("test"),
-        F.lit(column).alias("column_name"),
-        "failures",
+def check_table(name: str, tables: Mapping[str, DataFrame], tests: TableTests) -> DataFrame:
+    """All tests of a table from one scan of it.
+
+    A row gives an entry for each of its failing checks and for each of its keys. Entries
+    are counted by test and key, map-side first; unique keys then fail where they count
+    more than one row, and keys of a relationship where their parent lacks them.
+    """
+    df = tables[name]
+    listed = [(test, column) for test, column, _ in row_checks(tests)]
+    entries = [F.when(bad, _entry(n, F.lit(""))) for n, (_, _, bad) in enumerate(row_checks(tests))]
+    parents = []
+    for test, column in [*(("unique", c) for c in tests.unique), *(("relationships", c) for c in tests.relationships)]:
+        n = len(listed)
+        listed.append((test, column))
+        entries.append(F.when(F.col(column).isNotNull(), _entry(n, F.col(column).cast("string"))))
+        if test == "relationships":
+            parent, key = tests.relationships[column]
+            parents.append(tables[parent].select(F.lit(n).alias("n"), F.col(key).cast("string").alias("key"), F.lit(True).alias("known")))
+    counted = df.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("n", "key").agg(F.count(F.lit(1)).alias("rows"))
+    if parents:
+        counted = counted.join(reduce(DataFrame.unionByName, parents).distinct(), ["n", "key"], "left")
+    else:
+        counted = counted.withColumn("known", F.lit(None).cast("boolean"))
+    unique = [n for n, (test, _) in enumerate(listed) if test == "unique"]
+    failing = F.when(F.col("n").isin(unique), (F.col("rows") > 1).cast("bigint")).when(F.col("known"), 0).otherwise(F.col("rows"))
+    failures = counted.groupBy("n").agg(F.sum(failing).alias("failures"))
+    lines = df.sparkSession.createDataFrame(
+        [(n, name, test, column) for n, (test, column) in enumerate(listed)], "n int, table_name string, test string, column_name string"
+    )
+    return lines.join(failures, "n", "left").select(
+        "table_name", "test", "column_name", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")
     )
 
 
-def check_unique(name: str, df: DataFrame, column: str) -> DataFrame:
-    return _line(repeated_keys(df, column), name, "unique", column, F.count(F.lit(1)))
-
-
-def check_relationship(
-    name: str, df: DataFrame, column: str, parent: DataFrame, key: str
-) -> DataFrame:
-    lost = orphans(df, column, parent, key)
-    return _line(lost, name, "relationships", column, F.sum("rows"))
+def _entry(n: int, key: Column) -> Column:
+    return F.struct(F.lit(n).alias("n"), key.alias("key"))
 
 
 def run_tests(tables: Mapping[str, DataFrame], suite: Mapping[str, TableTests]) -> DataFrame:
-    """The report of a whole suite: one row per test."""
-    parts = []
-    for name, tests in suite.items():
-        df = tables[name]
-        if row_checks(tests):
-            parts.append(check_rows(name, df, tests))
-        parts += [check_unique(name, df, column) for column in tests.unique]
-        parts += [
-            check_relationship(name, df, column, tables[parent], key)
-            for column, (parent, key) in tests.relationships.items()
-        ]
-    return reduce(DataFrame.unionByName, parts)
+    """The report of a whole suite: one row per test, one scan per table."""
+    return reduce(DataFrame.unionByName, [check_table(name, tables, tests) for name, tests in suite.items()])
 
 
 class SuiteFailed(Exception):
@@ -122,14 +128,29 @@ def require_passing(report: DataFrame) -> DataFrame:
 
 
 def freshness(
-    df: DataFrame, loaded_at: str, now: Column, warn_minutes: int, error_minutes: int
+    df: DataFrame,
+    loaded_at: str,
+    now: Column,
+    warn_minutes: int,
+    error_minutes: int,
+    source: str | None = None,
+    sources: Sequence[str] = (),
 ) -> DataFrame:
-    """How old the newest row is, and whether that passes, warns or fails."""
+    """How old the newest row is, and whether that passes, warns or fails.
+
+    With ``source``, a column, for each of the ``sources`` apart, from the same scan; one
+    without rows fails.
+    """
     seconds = F.unix_timestamp(now) - F.unix_timestamp("last_loaded_at")
     status = (
         F.when(F.col("last_loaded_at").isNull() | (seconds > error_minutes * 60), "error")
         .when(seconds > warn_minutes * 60, "warn")
         .otherwise("pass")
     )
-    newest = df.agg(F.max(loaded_at).alias("last_loaded_at"))
-    return newest.select("last_loaded_at", seconds.alias("age_seconds"), status.alias("status"))
+    newest = F.max(loaded_at).alias("last_loaded_at")
+    if source is None:
+        found, kept = df.agg(newest), []
+    else:
+        expected = df.sparkSession.createDataFrame([(s,) for s in sources], f"`{source}` string")
+        found, kept = expected.join(df.groupBy(source).agg(newest), source, "left"), [source]
+    return found.select(*kept, "last_loaded_at", seconds.alias("age_seconds"), status.alias("status"))

@@ -74,6 +74,17 @@ class StreamTable:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.data(flow))
 
+    def register(self, spark: SparkSession, name: str) -> None:
+        """Make the table known to the catalog, over all its flows and whatever they add later.
+
+        ``spark.read.table`` and ``spark.readStream.table`` then take it by its name.
+        """
+        for flow in self.flows:
+            make_folder(spark, self.data(flow))
+        spark.catalog.createTable(
+            name, f"{self.root.rstrip('/')}/data", "parquet", spark.createDataFrame([], self.ddl).schema, recursiveFileLookup="true"
+        )
+
     def reset(self, spark: SparkSession, flow: str = "main") -> None:
         """Drop one flow's rows and its checkpoint, so that its next start replays its source.
 

@@ -363,14 +363,8 @@ def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vehicle_make_id": ("ref_vehicle_makes", "vehicle_make_id"),
         "payment_method_id": ("ref_payment_methods", "payment_method_id"),
     }
-    parts = [
-        orphans(rides, column, refs[parent], key).select(F.lit(column).alias("column_name"), "key", "rows")
-        for column, (parent, key) in parents.items()
-    ]
-    lost = parts[0]
-    for part in parts[1:]:
-        lost = lost.unionByName(part)
-    return lost
+    lost = orphans(rides, {column: (refs[parent], key) for column, (parent, key) in parents.items()})
+    return lost.withColumn("key", F.col("key").cast("int"))
 
 
 @query
@@ -406,14 +400,10 @@ def dq_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
 @named("freshness")
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Freshness of each source's newest enriched ride at the report's moment."""
-    rides = silver(spark, sf_dir)
-    parts = [
-        freshness(
-            rides.where(F.col("_source_system") == source), "_silver_processed_at", now(), **audit.FRESH_MINUTES
-        ).select(F.lit(source).alias("_source_system"), "*")
-        for source in (S.LIVE_SOURCE, S.BULK_SOURCE)
-    ]
-    return parts[0].unionByName(parts[1])
+    sources = [S.LIVE_SOURCE, S.BULK_SOURCE]
+    return freshness(
+        silver(spark, sf_dir), "_silver_processed_at", now(), **audit.FRESH_MINUTES, source="_source_system", sources=sources
+    )
 
 
 @query

@@ -120,6 +120,20 @@ def test_time_intelligence_equals_brute_force(fact, days, data, by):
     assert keyed(same_day_prior_month(fact, days, fare, "p", by), "p") == before
 
 
+def test_totals_over_days_use_windows_of_bounded_blocks(fact, days, data):
+    """No row is multiplied before it is added up, and long frames have longer blocks."""
+    fare = F.sum("total_fare")
+    days = days.sparkSession.createDataFrame([(day,) for day in SPINE], "date_key date")
+    for total in (month_to_date(fact, days, fare, "m", ["g"]), rolling_days(fact, days, fare, 7, "w", ["g"])):
+        text = total._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in text and "Window" in text
+    listed = [r for r in data if r[1] in set(SPINE)]
+    for length in (1, 31, 32, 33, 90):
+        found = {r.date_key: r.w for r in rolling_days(fact, days, rides(), length, "w").collect()}
+        expected = {day: n for day in SPINE if (n := sum(day - timedelta(length) < r[1] <= day for r in listed))}
+        assert found == expected
+
+
 def test_month_over_month(rows, days):
     fact = rows([(date(2024, 1, 5), 10.0), (date(2024, 2, 5), 15.0), (date(2024, 4, 5), 4.0), (date(2027, 12, 1), 1.0)],
                 "date_key date, total_fare double")

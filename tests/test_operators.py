@@ -47,9 +47,40 @@ def test_lookup_gives_the_same_rows_broadcast_or_shuffled(spark, rows):
 
 
 def test_orphans_ignore_nulls(rows):
-    child = rows([(1,), (1,), (9,), (9,), (9,), (None,)], "k int")
-    parent = rows([(1,), (2,)], "id int")
-    assert [tuple(r) for r in orphans(child, "k", parent, "id").collect()] == [(9, 3)]
+    """Two columns with parents of their own; a key may be known to the other one's only."""
+    child = rows([(1, "a"), (1, "z"), (9, None), (9, "z"), (9, "a"), (None, "9")], "k int, c string")
+    parents = {"k": (rows([(1,), (2,)], "id bigint"), "id"), "c": (rows([("a",), ("a",)], "name string"), "name")}
+    found = orphans(child, parents)
+    assert sorted(map(tuple, found.collect())) == [("c", "9", 1), ("c", "z", 2), ("k", "9", 3)]
+
+
+def relations(df):
+    """How often the optimised plan reads parquet files."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count(" parquet")
+
+
+def test_key_tests_read_a_table_once(spark, rows, tmp_path):
+    ddl = "k int, p int, q int, v int"
+    rows([(1, 1, 7, 1), (1, 2, 1, 2), (2, None, 1, 30)], ddl).write.parquet(str(tmp_path / "child"))
+    child, parent = spark.read.parquet(str(tmp_path / "child")), rows([(1,)], "id int")
+    parents = {"p": ("parent", "id"), "q": ("parent", "id")}
+    suite = {"t": TableTests(unique=["k"], not_null=["p"], relationships=parents, accepted_range={"v": (0, 10)})}
+    report = run_tests({"t": child, "parent": parent}, suite)
+    assert {(r.test, r.column_name): r.failures for r in report.collect()} == {
+        ("not_null", "p"): 1, ("accepted_range", "v"): 1, ("unique", "k"): 1, ("relationships", "p"): 1, ("relationships", "q"): 1,
+    }
+    assert relations(report) == 1
+    assert relations(orphans(child, {c: (parent, "id") for c in "pq"})) == 1
+
+
+def test_freshness_of_several_sources_in_one_scan(spark, rows, tmp_path):
+    rows([("a", datetime(2026, 1, 1)), ("b", datetime(2025, 1, 1)), ("other", None)], "s string, at timestamp").write.parquet(
+        str(tmp_path / "t")
+    )
+    now = F.lit("2026-01-01 00:31:00").cast("timestamp")
+    found = freshness(spark.read.parquet(str(tmp_path / "t")), "at", now, 30, 180, source="s", sources=["a", "b", "none"])
+    assert {r.s: r.status for r in found.collect()} == {"a": "warn", "b": "error", "none": "error"}
+    assert relations(found) == 1
 
 
 RULES = (S.Rule("positive", "v > 0", "drop"), S.Rule("small", "v < 10", "warn"))

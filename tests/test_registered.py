@@ -1,5 +1,9 @@
 """Every registered query against its SQL on the smallest test tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from compare import compare, database
@@ -26,3 +30,17 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, SF_DIR, name) is None
+
+
+@pytest.mark.parametrize("absent", ["fareline.llm", "corpus_pipeline", "ahocorasick"])
+def test_the_rest_goes_on_without_the_training_data_operators(absent):
+    """In a process of its own, where the module, or one that only they need, can't be imported."""
+    code = (
+        f"import sys; sys.modules[{absent!r}] = None\n"
+        "import __spark_entry__ as e; from fareline.workload.queries import QUERIES\n"
+        "assert set(e.queries()) == set(QUERIES) == set(e.oracle_sql()), set(e.queries()) ^ set(QUERIES)"
+    )
+    root = Path(__file__).resolve().parent.parent
+    ran = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert ran.returncode == 0, ran.stderr
+    assert "not registered" in ran.stderr

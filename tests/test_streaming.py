@@ -14,6 +14,7 @@ from fareline.operators.quality import TableTests, SuiteFailed, require_passing,
 from fareline.plans.enrich import rides_enriched
 from fareline.plans.staging import live_rides, staged
 from fareline.sources.kafka import bronze_rides
+from fareline.sources.tables import create_namespaces
 from fareline.streaming import flows
 from fareline.streaming.metrics import LATE_ROWS, FlowMetrics, flow_metrics, flow_totals
 from fareline.workload.rides import references
@@ -377,3 +378,29 @@ def test_metrics_of_flows_are_kept(spark, topic, root):
     with FlowMetrics(spark, f"{root}/elsewhere"):
         to_staging(spark, root)
     assert flow_metrics(spark, f"{root}/elsewhere").isEmpty()
+
+
+def test_bronze_to_enriched_by_table_names(spark, topic, root):
+    """Tables of both flows in the catalog, registered before they have rows, read as batch and stream."""
+    names = {"bronze.rides_raw": flows.bronze_rides_table(root), "silver.staging_rides": flows.staging_table(root),
+             "silver.rides_enriched": flows.enriched_table(spark, root)}
+    create_namespaces(spark)
+    try:
+        for name, table in names.items():
+            table.register(spark, name)
+            assert spark.read.table(name).isEmpty()
+        for ride in ("a", "b"):
+            topic.send((ride, "10:00"))
+            to_bronze(topic, root)
+            to_staging(spark, root)
+            flows.start_enrich(spark, root, flows.LIVE, lambda: references(spark)).awaitTermination()
+        for name in names:
+            spark.catalog.refreshTable(name)
+        assert spark.read.table("bronze.rides_raw").count() == 2
+        assert spark.read.table("silver.rides_enriched").columns == flows.enriched_table(spark, root).read(spark).columns
+        copy = spark.readStream.table("silver.staging_rides").select("ride_id").writeStream.format("memory").queryName("copied")
+        copy.trigger(availableNow=True).start().awaitTermination()
+        assert sorted(r.ride_id for r in spark.read.table("copied").collect()) == ["a", "b"]
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
