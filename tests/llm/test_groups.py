@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -142,9 +143,9 @@ def brute_top(rows, top=20):
     return result
 
 
-@pytest.mark.parametrize("blocks", [(1024, 4096, 12), (3, 40, 4)])
+@pytest.mark.parametrize("blocks", [(1024, 4096, 1 << 26), (3, 50, 30_000)])
 def test_top_products_equal_brute_force(spark, monkeypatch, blocks):
-    for name, value in zip(("QUERY_BLOCK", "CANDIDATE_BLOCK", "SHARDS"), blocks):
+    for name, value in zip(("QUERY_BLOCK", "CANDIDATE_BLOCK", "SHARD_BYTES"), blocks):
         monkeypatch.setattr(topk, name, value)
     source = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
     rows = [(r.vec_id, list(r.embedding)) for r in source.collect()]
@@ -158,6 +159,35 @@ def test_top_products_equal_brute_force(spark, monkeypatch, blocks):
     assert topk.top_products(table.limit(0), "vec_id % 20 = 0").count() == 0
 
 
+def test_bounds_rule_out_pairs():
+    """On the given vectors, dealt in blocks; and exact results where single and double precision aren't enough."""
+    rows = duckdb.sql("select vec_id, embedding from '/root/testdata/sf0.1/embeddings.parquet'").fetchall()
+    ids, values = np.array([r[0] for r in rows]), np.array([topk.integer_vector(r[1]) for r in rows])
+    for stretch, count in ((1.0, len(ids)), (1e4, 300), (2.0**22, 60)):
+        part, which = np.trunc(values[:count] * stretch), ids[:count]
+        asked = np.flatnonzero(which % 20 == 0)
+        search = topk.Search(which[asked], part[asked], 5)
+        for at in range(0, count, 500):
+            search.add(topk.Block(which[at : at + 500], part[at : at + 500]))
+        exact = part.astype(object) if stretch > 1e4 else part
+        found = search.result().groupby("query_id")
+        for q in asked[:20]:
+            best = sorted((-int(exact[q] @ exact[i]), int(which[i])) for i in range(count) if i != q)[:5]
+            got = found.get_group(which[q])
+            assert list(zip(-got["score"].to_numpy(), got["vec_id"])) == best
+        if stretch == 1.0:
+            assert search.met == len(asked) * (len(ids) - 1) and search.computed < 0.7 * search.met
+
+
+def test_candidates_are_in_one_shard_at_any_size():
+    """A vector of 64 doubles takes 512 bytes; copies are of the queries, a twentieth of the rows."""
+    for rows in (0, 1, 2_000, 51_282, 10**6, 10**9):
+        shards = topk.shard_count(rows, 512 * rows, 16)
+        assert shards <= max(16, 1 + 512 * rows // topk.SHARD_BYTES)
+        assert 512 * rows / shards <= topk.SHARD_BYTES
+    assert topk.shard_count(10**6, 512 * 10**6, 16) == 16
+
+
 def test_segment_bounds_are_never_below_the_product():
     rng = np.random.default_rng(5)
     q, x = np.floor(64 * rng.normal(size=(30, 64))), np.floor(64 * rng.normal(size=(50, 64)))
