@@ -8,7 +8,9 @@ edits around that place and gives the span and the edits.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
+from itertools import accumulate
 
 import ahocorasick
 import regex
@@ -97,18 +99,20 @@ def scan_text(text: str | None, phrases: list[tuple[str, str]], finder: NoticeFi
     """Words, exact phrase places and notices of one text; see scan_licenses."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(_TO_WORDS).split()
     joined = f" {b' '.join(words).decode('latin-1')} "
+    # The places of the words' ends, so that a place in the text is found by bisection.
+    ends = list(accumulate((len(word) + 1 for word in words), initial=0))
     places, base = [], set()
     for phrase, label in phrases:
-        want, at, from_, word = f" {phrase} ", joined.find(f" {phrase} "), 0, -1
+        want = f" {phrase} "
+        at = joined.find(want)
         while at >= 0:
-            word += joined.count(" ", from_, at + 1)
-            places.append(word)
+            places.append(bisect_left(ends, at))
             base.add(label)
-            from_, at = at + 1, joined.find(want, at + 1)
+            at = joined.find(want, at + 1)
     notices, labels, score = [], set(base), 1.0 if places else 0.0
     for start, end, label, edits, size in sorted(set(finder.find(joined))):
-        first = max(0, joined.count(" ", 0, start + 1) - 1)
-        last = joined.count(" ", 0, end - 1) - 1
+        first = max(0, bisect_right(ends, start) - 1)
+        last = bisect_left(ends, end - 1) - 1
         notices.append({"label": label, "first_word": first, "last_word": last, "edits": edits})
         labels.add(label)
         score = max(score, 1 - edits / size)
@@ -137,7 +141,8 @@ def scan_licenses(
     (null if none), base_labels, labels (both, sorted, comma-joined, empty if none),
     score (1 for an exact phrase, else 1 - edits / length of the best notice, else 0) and
     notices (label, first and last word, edits). A null text counts as empty. Repeated
-    rows give repeated results; other columns are not read. Rows are independent, so no
+    rows give repeated results; other columns, whatever their names, are not read, and an
+    empty table gives no rows. Rows are independent, so no
     rows meet in one task beyond those of its input split.
     """
     schema = (

@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareline.llm.common import durable
+from fareline.llm.common import durable, written
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -42,8 +42,6 @@ _CHUNK = r"(?s).{1,512}+[\p{L}\p{N}]*+"
 
 #: Texts that must show a pair, and the two thresholds.
 SUPPORT, GENERALISE, REMOVE = 2, 0.5, 0.9
-#: No bound any more: mentions and terms this near were all that counted once. Tests name it.
-WINDOW = 48
 #: Standard errors below the estimate for a class: one term in some millions by chance.
 SIGMAS = 5.0
 
@@ -115,8 +113,8 @@ def _least_rate(n_both: Column, n_term: Column, texts: Column) -> Column:
 
 
 def _keys(id_col: str, text: Column) -> list[Column]:
-    """What names a row: its id and a hash of its text; equal rows share their spans."""
-    return [F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"), F.xxhash64(text).alias("_hash")]
+    """What names a row: its id and a 128-bit digest of its text; equal rows share their spans."""
+    return [F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_id"), F.unhex(F.md5(text)).alias("_hash")]
 
 
 def _distinct_terms(text: Column) -> Column:
@@ -164,7 +162,8 @@ def disclosing_spans(
     kind (generalise or remove); none overlaps a base span. Null and empty texts have no
     spans. Rows that repeat an id and its text have the same spans and count once for pairs.
     All counts are over the whole table, a document's distinct terms against its distinct
-    entities; every aggregation combines before its shuffle. Values of a single text take
+    entities; every aggregation combines before its shuffle. Only the two columns are read,
+    whatever others are called; an empty table gives no rows. Values of a single text take
     no part in pairs, as they can't have the support. Only a document's own entities and
     its revealing terms are gathered.
     """
@@ -187,9 +186,9 @@ def disclosing_spans(
     )
     texts = durable(marked.select("_hash", "_text").dropDuplicates(["_hash"]).join(repeated, "_hash"))
 
-    both = texts.select("_hash", "n", "entities", F.explode(_distinct_terms(F.col("_text"))).alias("term")).select(
-        "_hash", "n", "term", F.explode("entities").alias("entity")
-    )
+    # A document's entities beside its terms; what the pairs reveal joins them again below.
+    with_terms = written(texts.select("_hash", "n", "entities", F.explode(_distinct_terms(F.col("_text"))).alias("term")))
+    both = with_terms.select("_hash", "n", "term", F.explode("entities").alias("entity"))
     pairs = (
         both.groupBy("entity", "term")
         .agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"))
@@ -281,7 +280,8 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """docs with personal data replaced by its kind and revealing terms by [TERM] or nothing.
 
     All rows and columns stay, in any order; only text_col changes, and only where it has
-    spans. Rows without personal data aren't shuffled.
+    spans. Null texts stay null; columns of any name are carried along as they are. Rows
+    without personal data aren't shuffled.
     """
     spans = disclosing_spans(docs, id_col, text_col, **limits)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -291,7 +291,9 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     found = spans.where(F.size("base") > 0).groupBy("_id", "_hash").agg(
         F.first(F.array_sort(F.concat("base", "terms"))).alias("_spans")
     )
-    keyed = docs.where(has_any).select("*", *_keys(id_col, text)).join(found, ["_id", "_hash"], "left")
-    new = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(_rewritten(text, F.col("_spans")))
-    changed = keyed.select(*(new.alias(c) if c == text_col else F.col(c) for c in docs.columns))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    keyed = docs.where(has_any).select(row, *_keys(id_col, text)).join(found, ["_id", "_hash"], "left")
+    old = F.col("_row")[text_col]
+    new = F.when(F.col("_spans").isNull(), old).otherwise(_rewritten(F.coalesce(old, F.lit("")), F.col("_spans")))
+    changed = keyed.select(*(new.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns))
     return docs.where(~has_any).unionByName(changed)

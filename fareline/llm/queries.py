@@ -81,8 +81,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License phrases and notices of every document."""
-    return scan_licenses(read_table(spark, sf_dir, "documents")).drop("notices")
+    """License phrases and notices of every document, the notices with their words and edits."""
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
 def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -194,7 +194,8 @@ def group_near_copies(
     smallest id reachable by links. Texts that are null or without words have fingerprint
     zero and are linked like any other. Repeated rows have the same result each. A row
     with a null id has a fingerprint and the component of its fingerprint, but is never
-    the smallest id; component_id is null where all ids are. Ids are long.
+    the smallest id; component_id is null where all ids are. Ids are long. Only the two
+    columns are read, whatever others are called; an empty table gives no rows.
     """
     rows = durable(fingerprints(docs, id_col, text_col).withColumnRenamed(id_col, "doc_id"))
     points = durable(rows.groupBy("bits").agg(F.min("doc_id").cast("long").alias("node")))
@@ -204,3 +205,27 @@ def group_near_copies(
         F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
+
+def first_of_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS
+) -> DataFrame:
+    """One row of each group of near copies, all its columns as they are.
+
+    Of a group the row with the smallest id stays, nulls last, then by a 128-bit digest of
+    the text; of rows equal in both any one. Rows that repeat an id with different texts,
+    or have none, are told apart by their texts. Null texts and texts without words are
+    near copies of each other. Columns may have any name; an empty table gives no rows.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(row, F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
+    texts = durable(fingerprints(keyed, "digest", "text").distinct())
+    # A group is named by a fingerprint, so that no two share a name.
+    points = durable(texts.select("bits").distinct().withColumn("node", F.col("bits")))
+    linked = points.join(hamming_components(points, radius), "node", "left")
+    groups = texts.join(linked.select("bits", F.coalesce("root", "node").alias("group")), "bits")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("first_id"), F.col("digest").alias("first_digest"))
+    first = keyed.select("id", "digest").join(groups, "digest").groupBy("group").agg(F.min(order).alias("first")).select("first.*")
+    is_first = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
+    kept = keyed.join(first, is_first, "left_semi").dropDuplicates(["id", "digest"])
+    return kept.select(*(F.col("row")[c].alias(c) for c in docs.columns))

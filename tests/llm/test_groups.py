@@ -442,31 +442,47 @@ def test_base_spans_equal_the_plain_patterns(spark, documents):
         assert [s for s in found[n].spans.split(",") if s and not s.startswith("term")] == want
 
 
+def brute_entities(span, text):
+    """A value and its classes."""
+    kind, a, b = span.split(":")
+    value = text[int(a) : int(b)].lower()
+    if kind in ("card", "phone"):
+        value = re.sub("[^0-9]", "", value)
+    part = {"email": value.split("@")[-1], "ip": value.rpartition(".")[0], "card": value[:6], "phone": value[:-7]}[kind]
+    return {f"{kind}:{value}", f"{kind}/{part}", kind}
+
+
 def brute_disclosure(texts):
-    """Revealing terms by the definition, over (row, text)."""
+    """Revealing terms by the definition, over (row, text): whole documents, values and their classes."""
     word = r"[^\W\d_][^\W_]{2,}"
-    total, has, both, hosts = len(texts), Counter(), defaultdict(set), defaultdict(set)
-    near = []
+    total, has, both, hosts, own = len(texts), Counter(), defaultdict(list), defaultdict(list), {}
     for n, text in enumerate(texts):
-        has.update(set(re.findall(word, text.lower())))
-        for span in brute_spans(text):
-            kind, a, b = span.split(":")
-            a, b = int(a), int(b)
-            value = text[a:b].lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", text[a:b])
-            hosts[kind, value].add(n)
-            for m in re.finditer(word, text):
-                inside = a - pii.WINDOW <= m.start() and m.end() <= a or b <= m.start() and m.end() <= b + pii.WINDOW - 1
-                if inside:
-                    both[(kind, value), m[0].lower()].add(n)
-                    near.append((n, (kind, value), m[0].lower(), m.start(), m.end()))
+        terms = {t.lower() for t in re.findall(word, text)}
+        has.update(terms)
+        own[n] = {e for span in brute_spans(text) for e in brute_entities(span, text)}
+        for e in own[n]:
+            hosts[e].append(n)
+            for t in terms:
+                both[e, t].append(n)
+    shares = {}
+    for (e, t), rows in both.items():
+        distinct, n_e = len({texts[r] for r in rows}), len(hosts[e])
+        if distinct < pii.SUPPORT or n_e >= total:
+            continue
+        rate = len(rows) / has[t]
+        if ":" not in e:
+            trials, z = distinct / rate, pii.SIGMAS
+            spread = z * math.sqrt(rate * (1 - rate) / trials + z * z / (4 * trials * trials))
+            rate = (rate + z * z / (2 * trials) - spread) / (1 + z * z / trials)
+        if rate > 0 and (share := math.log2(total * rate / n_e) / math.log2(total / n_e)) >= pii.GENERALISE:
+            shares[e, t] = share
     found = defaultdict(set)
-    for n, e, t, a, b in near:
-        rows = both[e, t]
-        if len({texts[r] for r in rows}) >= pii.SUPPORT and len(hosts[e]) < total:
-            share = math.log2(total * len(rows) / (len(hosts[e]) * has[t])) / math.log2(total / len(hosts[e]))
-            spans = [tuple(map(int, s.split(":")[1:])) for s in brute_spans(texts[n])]
-            if share >= pii.GENERALISE and not any(a < y and x < b for x, y in spans):
-                found[n].add((a, b, "remove" if share >= pii.REMOVE else "generalise"))
+    for n, text in enumerate(texts):
+        spans = [tuple(map(int, s.split(":")[1:])) for s in brute_spans(text)]
+        for m in re.finditer(word, text):
+            share = max((shares.get((e, m[0].lower()), 0) for e in own[n]), default=0)
+            if share and not any(m.start() < y and x < m.end() for x, y in spans):
+                found[n].add((*m.span(), "remove" if share >= pii.REMOVE else "generalise"))
     return found
 
 
@@ -478,6 +494,14 @@ def test_revealing_terms_equal_brute_force_and_go(spark):
     spans = {r.doc_id: r for r in pii.disclosing_spans(table).collect()}
     want = brute_disclosure(texts)
     assert {n: {(t.start, t.end, t.kind) for t in r.terms} for n, r in spans.items() if r.terms} == want and want
+    # A text of far places, classes of values, copies, and terms that only a class reveals.
+    far = " about the weather and nothing else" * 10
+    texts += texts[:40] * 10
+    texts += [f"Quarnheim {n}{far} p{n}@{'xyz'[n % 3]}.clinic.org{far} QUARNHEIM" for n in range(14)]
+    texts += [f"copied Torvald{far} 10.1.2.{n // 4}" for n in range(8)] + ["Quarnheim by itself", "the weather p0@x.clinic.org Torvald"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: {(t.start, t.end, t.kind) for t in r.terms} for r in pii.disclosing_spans(table).collect() if r.terms}
+    assert rows == brute_disclosure(texts) and len(rows) > len(want)
     assert any(kind == "remove" for found in want.values() for _, _, kind in found)
     clean = {r.doc_id: r.text for r in pii.sanitise(table).collect()}
     assert "Quarn" not in clean[40] and "[EMAIL]" in clean[40] and "weather" in clean[40]
@@ -520,6 +544,38 @@ def test_least_rate_is_wilsons_lower_end(spark):
         assert abs(r.low - want) < 1e-12
 
 
+CLASHING = ["_id", "_hash", "_spans", "_row", "_key", "_first", "lang_pred", "lang_score", "lang_accepted", "p_toxic", "is_toxic",
+            "row", "id", "digest", "bits", "node", "group", "spans", "base", "n_tokens", "a b.c"]
+
+
+def with_clashing(docs):
+    """Each row with further columns, whose values name the row."""
+    return docs.withColumns({name: F.concat(F.lit(f"{name} "), F.coalesce("text", F.lit("-"))) for name in CLASHING})
+
+
+def test_columns_of_any_name_pass_the_stages(spark, documents):
+    table = common.durable(with_clashing(documents))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        kept = stage(spark, table, SF)
+        assert kept.dtypes == table.dtypes
+        key = ["doc_id", *(f"`{name}`" for name in CLASHING)]
+        assert kept.count() > 0 and kept.select(key).exceptAll(table.select(key)).isEmpty()
+    assert corpus_pipeline.STAGES[4][1](spark, table.limit(20), SF).count() >= 20
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_folder(Session())
+
+
 def test_sanitise_keeps_rows_and_other_columns(spark):
     data = [(1, "a@b.co x", 7), (1, "a@b.co x", 7), (2, None, 7), (3, "", 7), (None, "10.0.0.1", 7)]
     table = spark.createDataFrame(data, "doc_id long, text string, spans int")
