@@ -12,44 +12,62 @@ from fareline.llm.common import durable
 from fareline.llm.language import fit_languages, identify
 from fareline.llm.packing import pack_documents
 from fareline.llm.pii import sanitise
-from fareline.llm.simhash import group_near_copies
+from fareline.llm.simhash import first_of_near_copies
 from fareline.llm.toxicity import fit_toxicity, score_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _judged(docs: DataFrame, judge: Callable[[DataFrame, str], DataFrame], keep: str) -> DataFrame:
+    """The rows of docs that `keep` is true of once judged, with docs' columns whatever their names.
+
+    judge takes a table and the name of its text column, and appends columns.
+    """
+    plain = [f"c{n}" for n in range(len(docs.columns))]
+    judged = judge(docs.toDF(*plain), plain[docs.columns.index("text")])
+    return judged.where(keep).select(plain).toDF(*docs.columns)
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told with enough confidence; the others go."""
-    return identify(docs, fit_languages(docs)).where("lang_accepted").select(docs.columns)
+    """Documents whose language is told with enough confidence; the others go.
+
+    Null and empty texts and texts without letters go; repeated rows fare alike, null ids
+    stay, and an empty table gives an empty one.
+    """
+    model = fit_languages(docs)
+    return _judged(docs, lambda rows, text_col: identify(rows, model, text_col=text_col), "lang_accepted")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the chain's last link doesn't flag; the model learns from the labels."""
+    """Documents that the chain's last link doesn't flag; the model learns from the labels.
+
+    Null and empty texts are never flagged; repeated rows fare alike, null ids stay, and
+    without labels nothing goes.
+    """
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_toxicity(docs, model).where("not is_toxic").select(docs.columns)
+    return _judged(docs, lambda rows, text_col: score_toxicity(rows, model, text_col), "not is_toxic")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies: the smallest id, nulls last, then by a hash of the text.
+    """One row of each group of near copies: the smallest id, nulls last, then by the text's digest.
 
-    Rows are told apart by id and text, so those that repeat an id or have none are grouped
-    by what they hold. Of rows equal in both, one stays.
+    Rows that repeat an id or have none are told apart by their texts. Of rows equal in
+    both, one stays; null and empty texts are copies of each other.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    found = group_near_copies(keyed, "_key").groupBy("_key").agg(F.min("component_id").alias("_group"))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("_key").alias("_first"))
-    first = keyed.select("doc_id", "_key").join(found, "_key").groupBy("_group").agg(F.min(order).alias("row")).select("row.*")
-    kept = keyed.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_first")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_key"]).select(docs.columns)
+    return first_of_near_copies(docs)
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data and revealing terms replaced in their texts."""
-    return sanitise(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    """All documents, personal data and revealing terms replaced in their texts; null texts stay null."""
+    counted = sanitise(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return counted.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in sequences of at most 4096 tokens."""
+    """Pieces of all documents and their places in sequences of at most 4096 tokens.
+
+    Null and empty texts have one token; repeated rows and null ids are packed like others.
+    """
     return pack_documents(docs, importlib.import_module("public_tokenizers").path("word_bpe_49k.json"))
 
 
