@@ -55,21 +55,21 @@ with {', '.join(f'{name} as ({reference_sql(name)})' for name in REFERENCE_ROWS)
 rides as ({RIDES}),
 enriched as (
     select rides.*,
-        pu.city as pickup_city, pu.state as pickup_state, pu.region as pickup_region,
-        dr.city as dropoff_city, dr.state as dropoff_state, dr.region as dropoff_region,
-        vt.vehicle_type, vt.description as vehicle_type_description,
-        vt.base_rate, vt.per_mile, vt.per_minute,
-        vm.vehicle_make, pm.payment_method, pm.is_card, pm.requires_auth,
-        st.ride_status, st.is_completed, cr.cancellation_reason,
+        origin.city as pickup_city, origin.state as pickup_state, origin.region as pickup_region,
+        destination.city as dropoff_city, destination.state as dropoff_state, destination.region as dropoff_region,
+        service.vehicle_type, service.description as vehicle_type_description,
+        service.base_rate, service.per_mile, service.per_minute,
+        make.vehicle_make, payment.payment_method, payment.is_card, payment.requires_auth,
+        outcome.ride_status, outcome.is_completed, reason.cancellation_reason,
         {DERIVED}
     from rides
-    left join ref_cities pu on pickup_city_id = pu.city_id
-    left join ref_cities dr on dropoff_city_id = dr.city_id
-    left join ref_vehicle_types vt on rides.vehicle_type_id = vt.vehicle_type_id
-    left join ref_vehicle_makes vm on rides.vehicle_make_id = vm.vehicle_make_id
-    left join ref_payment_methods pm on rides.payment_method_id = pm.payment_method_id
-    left join ref_ride_statuses st on rides.ride_status_id = st.ride_status_id
-    left join ref_cancellation_reasons cr on rides.cancellation_reason_id = cr.cancellation_reason_id
+    left join ref_ride_statuses outcome using (ride_status_id)
+    left join ref_cancellation_reasons reason using (cancellation_reason_id)
+    left join ref_payment_methods payment using (payment_method_id)
+    left join ref_vehicle_makes make using (vehicle_make_id)
+    left join ref_vehicle_types service using (vehicle_type_id)
+    left join ref_cities origin on rides.pickup_city_id = origin.city_id
+    left join ref_cities destination on rides.dropoff_city_id = destination.city_id
 ),
 kept as (select * from enriched where {KEPT}),
 dim_city as (
@@ -130,12 +130,12 @@ dim_date as (
 ),
 fact as (
     select ride_id, confirmation_number, ride_date as date_key,
-        coalesce(pu.city_key, -1) as pickup_city_key, coalesce(dr.city_key, -1) as dropoff_city_key,
-        coalesce(vt.vehicle_type_key, -1) as vehicle_type_key,
-        coalesce(vm.vehicle_make_key, -1) as vehicle_make_key,
-        coalesce(pm.payment_method_key, -1) as payment_method_key,
-        coalesce(st.ride_status_key, -1) as ride_status_key,
-        coalesce(cr.cancellation_reason_key, -1) as cancellation_reason_key,
+        coalesce(origin.city_key, -1) as pickup_city_key, coalesce(destination.city_key, -1) as dropoff_city_key,
+        coalesce(service.vehicle_type_key, -1) as vehicle_type_key,
+        coalesce(make.vehicle_make_key, -1) as vehicle_make_key,
+        coalesce(payment.payment_method_key, -1) as payment_method_key,
+        coalesce(outcome.ride_status_key, -1) as ride_status_key,
+        coalesce(reason.cancellation_reason_key, -1) as cancellation_reason_key,
         passenger_id, driver_id, vehicle_id, booking_timestamp, pickup_timestamp, dropoff_timestamp,
         pickup_hour, pickup_day_of_week, is_weekend, distance_miles, duration_minutes,
         base_fare, distance_fare, time_fare, subtotal, tip_amount, total_fare, 1 as ride_count,
@@ -147,18 +147,18 @@ fact as (
         case when total_fare is null then 'Unknown' when total_fare < 15 then 'Under $15'
             when total_fare < 30 then '$15 to $30' when total_fare < 60 then '$30 to $60'
             when total_fare < 120 then '$60 to $120' else '$120 and over' end as fare_band,
-        coalesce(st.is_completed, false) as is_completed,
-        coalesce(cr.is_actual_cancellation, false) as is_cancelled,
+        coalesce(outcome.is_completed, false) as is_completed,
+        coalesce(reason.is_actual_cancellation, false) as is_cancelled,
         pickup_latitude, pickup_longitude, dropoff_latitude, dropoff_longitude,
         _source_system, _silver_processed_at, {NOW} as _gold_built_at
-    from kept r
-    left join dim_city pu on r.pickup_city_id = pu.city_id
-    left join dim_city dr on r.dropoff_city_id = dr.city_id
-    left join dim_vehicle_type vt on r.vehicle_type_id = vt.vehicle_type_id
-    left join dim_vehicle_make vm on r.vehicle_make_id = vm.vehicle_make_id
-    left join dim_payment_method pm on r.payment_method_id = pm.payment_method_id
-    left join dim_ride_status st on r.ride_status_id = st.ride_status_id
-    left join dim_cancellation_reason cr on r.cancellation_reason_id = cr.cancellation_reason_id
+    from kept
+    left join dim_ride_status outcome using (ride_status_id)
+    left join dim_cancellation_reason reason using (cancellation_reason_id)
+    left join dim_payment_method payment using (payment_method_id)
+    left join dim_vehicle_make make using (vehicle_make_id)
+    left join dim_vehicle_type service using (vehicle_type_id)
+    left join dim_city origin on kept.pickup_city_id = origin.city_id
+    left join dim_city destination on kept.dropoff_city_id = destination.city_id
 )
 """
 
