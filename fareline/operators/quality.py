@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+ENTRIES = "array<struct<n:int,key:string>>"
+
+
 @dataclass(frozen=True)
 class TableTests:
     """The tests of one table."""
@@ -72,49 +75,62 @@ def repeated_keys(df: DataFrame, column: str) -> DataFrame:
     return counted.where("rows > 1")
 
 
-def check_table(name: str, tables: Mapping[str, DataFrame], tests: TableTests) -> DataFrame:
-    """All tests of a table from one scan of it.
+def _entry(n: int, key: Column) -> Column:
+    return F.struct(F.lit(n).alias("n"), key.alias("key"))
+
+
+def _entries(df: DataFrame, tests: TableTests, first: int) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """(n, key) of a table from one scan, and its tests as (test, column), numbered from ``first``.
+
+    A row gives an entry for each of its keys. Only a row that fails some check gives
+    entries for those, so a clean row costs no more than its keys.
+    """
+    checks = row_checks(tests)
+    keyed = [*(("unique", c) for c in tests.unique), *(("relationships", c) for c in tests.relationships)]
+    keys = [_entry(first + len(checks) + i, F.col(c).cast("string")) for i, (_, c) in enumerate(keyed)]
+    parts = [F.array(*[F.when(key["key"].isNotNull(), key) for key in keys])] if keys else []
+    if checks:
+        some = reduce(Column.__or__, [F.coalesce(bad, F.lit(False)) for _, _, bad in checks])
+        failed = F.array(*[F.when(bad, _entry(first + i, F.lit(""))) for i, (_, _, bad) in enumerate(checks)])
+        parts.append(F.when(some, failed).otherwise(F.array().cast(ENTRIES)))
+    listed = [(test, column) for test, column, _ in checks] + keyed
+    parts = parts or [F.array().cast(ENTRIES)]
+    return df.select(F.inline(F.concat(*parts))).where("n is not null"), listed
+
+
+def run_tests(tables: Mapping[str, DataFrame], suite: Mapping[str, TableTests]) -> DataFrame:
+    """The report of a whole suite: one row per test.
 
-    A row gives an entry for each of its failing checks and for each of its keys. Entries
-    are counted by test and key, map-side first; unique keys then fail where they count
-    more than one row, and keys of a relationship where their parent lacks them.
+    Each table is read once and gives entries of a test and a key. Those of all tables are
+    counted together, map-side first, so a hot key or a failing check is a row per task in
+    the one shuffle; then keys of unique columns fail where they count more than one row,
+    and keys of a relationship where their parent lacks them.
     """
-    df = tables[name]
-    listed = [(test, column) for test, column, _ in row_checks(tests)]
-    entries = [F.when(bad, _entry(n, F.lit(""))) for n, (_, _, bad) in enumerate(row_checks(tests))]
-    parents = []
-    for test, column in [*(("unique", c) for c in tests.unique), *(("relationships", c) for c in tests.relationships)]:
-        n = len(listed)
-        listed.append((test, column))
-        entries.append(F.when(F.col(column).isNotNull(), _entry(n, F.col(column).cast("string"))))
-        if test == "relationships":
-            parent, key = tests.relationships[column]
-            parents.append(tables[parent].select(F.lit(n).alias("n"), F.col(key).cast("string").alias("key"), F.lit(True).alias("known")))
-    counted = df.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("n", "key").agg(F.count(F.lit(1)).alias("rows"))
+    entries, parents, lines = [], [], []
+    for name, tests in suite.items():
+        found, listed = _entries(tables[name], tests, len(lines))
+        entries.append(found)
+        for test, column in listed:
+            if test == "relationships":
+                parent, key = tests.relationships[column]
+                parents.append(tables[parent].select(F.lit(len(lines)).alias("n"), F.col(key).cast("string").alias("key")))
+            lines.append((len(lines), name, test, column))
+    counted = reduce(DataFrame.unionByName, entries).groupBy("n", "key").agg(F.count(F.lit(1)).alias("rows"))
     if parents:
-        counted = counted.join(reduce(DataFrame.unionByName, parents).distinct(), ["n", "key"], "left")
+        known = reduce(DataFrame.unionByName, parents).distinct().withColumn("known", F.lit(True))
+        counted = counted.join(known, ["n", "key"], "left")
     else:
         counted = counted.withColumn("known", F.lit(None).cast("boolean"))
-    unique = [n for n, (test, _) in enumerate(listed) if test == "unique"]
+    unique = [n for n, _, test, _ in lines if test == "unique"]
     failing = F.when(F.col("n").isin(unique), (F.col("rows") > 1).cast("bigint")).when(F.col("known"), 0).otherwise(F.col("rows"))
     failures = counted.groupBy("n").agg(F.sum(failing).alias("failures"))
-    lines = df.sparkSession.createDataFrame(
-        [(n, name, test, column) for n, (test, column) in enumerate(listed)], "n int, table_name string, test string, column_name string"
-    )
-    return lines.join(failures, "n", "left").select(
+    spark = next(iter(tables.values())).sparkSession
+    named = spark.createDataFrame(lines, "n int, table_name string, test string, column_name string")
+    return named.join(failures, "n", "left").select(
         "table_name", "test", "column_name", F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")
     )
 
 
-def _entry(n: int, key: Column) -> Column:
-    return F.struct(F.lit(n).alias("n"), key.alias("key"))
-
-
-def run_tests(tables: Mapping[str, DataFrame], suite: Mapping[str, TableTests]) -> DataFrame:
-    """The report of a whole suite: one row per test, one scan per table."""
-    return reduce(DataFrame.unionByName, [check_table(name, tables, tests) for name, tests in suite.items()])
-
-
 class SuiteFailed(Exception):
     """Table tests that found failures, as (table, test, column, failures)."""
 

@@ -73,6 +73,22 @@ def test_key_tests_read_a_table_once(spark, rows, tmp_path):
     assert relations(orphans(child, {c: (parent, "id") for c in "pq"})) == 1
 
 
+def test_tests_of_several_tables_are_counted_in_one_shuffle(rows):
+    """Equal keys of two tables and of two columns stay apart, and tables without keys have their checks."""
+    one, two = rows([(1, 1), (2, 1), (2, None)], "k int, p int"), rows([("1", None), ("1", 3), (None, 3)], "k string, v int")
+    suite = {
+        "one": TableTests(unique=["k", "p"], relationships={"p": ("two", "k")}),
+        "two": TableTests(unique=["k"], not_null=["v", "k"]),
+        "checks": TableTests(expression={"v": "v < 3"}),
+        "none": TableTests(),
+    }
+    report = run_tests({"one": one, "two": two, "checks": two, "none": one}, suite)
+    assert {(r.table_name, r.test, r.column_name): r.failures for r in report.collect()} == {
+        ("one", "unique", "k"): 1, ("one", "unique", "p"): 1, ("one", "relationships", "p"): 0,
+        ("two", "unique", "k"): 1, ("two", "not_null", "v"): 1, ("two", "not_null", "k"): 1, ("checks", "expression", "v"): 2,
+    }
+
+
 def test_freshness_of_several_sources_in_one_scan(spark, rows, tmp_path):
     rows([("a", datetime(2026, 1, 1)), ("b", datetime(2025, 1, 1)), ("other", None)], "s string, at timestamp").write.parquet(
         str(tmp_path / "t")
