@@ -6,8 +6,12 @@ embedding table; a text is the average of its rows, and a softmax over a linear
 gives the languages. Training is stochastic gradient descent in numpy on a bounded
 sample; a held-out part of the sample sets a temperature, so that scores are
 probabilities, and the score under which a text is rejected. Rows that training never
-touched are zero, so texts in an unknown script fall towards an even, low score; a text
-most of whose subwords are such rows is rejected as well.
+touched are zero, so texts in an unknown script fall towards an even, low score.
+
+A text is rejected as well if training met too few of its subwords. How many is enough is
+calibrated by length on the held-out part, each language left out in turn: there, the
+share of subwords that its own training texts or others have met is set against the share
+that only the other languages have met, which is how an unlearned language looks.
 """
 
 from __future__ import annotations
@@ -31,8 +35,17 @@ RATE = 4.0
 DOCS_A_LANGUAGE, MOST_LANGUAGES, LONGEST = 500, 200, 30_000
 #: Share of texts that the sample's held-out part may reject.
 REJECTED = 0.0005
-#: The least score and share of known subwords are never set above these.
-LEAST_SCORE, LEAST_SEEN = 0.4, 0.5
+#: The least score is never set above this.
+LEAST_SCORE = 0.4
+#: The share of known subwords that is asked for at most, by length class: short texts hold a rare name or
+#: number more easily. And how many pieces are enough to calibrate a class.
+LEAST_SEEN, ENOUGH = (0.5, 0.6, 0.7, 0.8, 0.8, 0.8), 30
+#: Lengths are told apart by their binary digits, in subwords: under 64, 128, ... 1024, and all longer ones.
+SHORTEST_CLASS, CLASSES = 6, 6
+#: Words of further pieces that only calibrate, so that every class has some.
+HELD_WORDS = (6, 25, 50, 100)
+#: Which quantile of the left-out languages' shares counts as unlearned.
+UNLEARNED = 0.9
 
 _FOLD = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -62,24 +75,28 @@ def subwords(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(places)
 
 
+def length_class(count: int) -> int:
+    return min(max(count.bit_length() - SHORTEST_CLASS, 0), CLASSES - 1)
+
+
 def folded(text: str) -> bytes:
     return b" " + text.lower().encode("utf-8", "surrogatepass").translate(_FOLD) + b" "
 
 
 @dataclass
 class LanguageModel:
-    """Languages, logits of each subword row and whether training met it, temperature, and
-    the least score and share of known subwords of a text that is accepted."""
+    """Languages, logits of each subword row and whether training met it, temperature, and the
+    least score and, by length class, share of known subwords of a text that is accepted."""
 
     languages: list[str]
     logits: np.ndarray
     seen: np.ndarray
     temperature: float = 1.0
     least_score: float = 0.0
-    least_seen: float = 0.0
+    least_seen: tuple[float, ...] = (0.0,) * CLASSES
 
-    def raw(self, text: str) -> tuple[np.ndarray, float]:
-        """Averaged logits and known share of a text, a piece of a megabyte at a time."""
+    def raw(self, text: str) -> tuple[np.ndarray, float, int]:
+        """Averaged logits, known share and count of a text's subwords, a piece of a megabyte at a time."""
         data = np.frombuffer(folded(text), np.uint8)
         total, count, seen = np.zeros(len(self.languages)), 0, 0
         longest = max(ORDERS)
@@ -91,16 +108,16 @@ class LanguageModel:
                 total += self.logits[rows[part : part + (1 << 18)]].sum(axis=0, dtype=np.float64)
             count += len(rows)
             seen += int(self.seen[rows].sum())
-        return total / max(1, count), seen / max(1, count)
+        return total / max(1, count), seen / max(1, count), count
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, its probability, and whether the text is accepted."""
         if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0, False
-        raw, seen = self.raw(text)
+        raw, seen, count = self.raw(text)
         p = _softmax(raw / self.temperature)
         best = int(p.argmax())
-        accepted = p[best] >= self.least_score and seen >= self.least_seen
+        accepted = p[best] >= self.least_score and seen >= self.least_seen[length_class(count)]
         return self.languages[best], float(p[best]), bool(accepted)
 
 
@@ -115,7 +132,7 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
     if len(languages) < 2:
         rows = len(ORDERS) * BUCKETS
         return LanguageModel(languages, np.zeros((rows, len(languages))), np.zeros(rows, bool))
-    rng = np.random.default_rng(seed)
+    rng, places = np.random.default_rng(seed), np.random.default_rng(seed + 1)
     examples, held = [], []
     for n, i in enumerate(rng.permutation(len(texts))):
         text, y = texts[i], languages.index(langs[i])
@@ -125,13 +142,20 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
             if len(words) > length:
                 at = int(rng.integers(len(words) - length))
                 pieces.append(" ".join(words[at : at + length]))
+        for length in HELD_WORDS if n % 5 == 0 else ():
+            if len(words) > length:
+                at = int(places.integers(len(words) - length))
+                pieces.append(" ".join(words[at : at + length]))
         for piece in pieces:
             rows, counts = np.unique(subwords(np.frombuffer(folded(piece), np.uint8))[0], return_counts=True)
             if len(rows):
                 (held if n % 5 == 0 else examples).append((rows, counts / counts.sum(), y, piece))
     table = rng.uniform(-1, 1, (len(ORDERS) * BUCKETS, WIDTH)) / WIDTH
     layer = np.zeros((WIDTH, len(languages)))
-    touched = np.zeros(len(table), bool)
+    met = np.zeros((len(languages), len(table)), bool)
+    for rows, _, y, _ in examples:
+        met[y, rows] = True
+    touched = met.any(axis=0)
     steps = EPOCHS * len(examples)
     step = 0
     for _ in range(EPOCHS):
@@ -145,12 +169,11 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
             back = layer @ error
             layer -= rate * 0.1 * np.outer(hidden, error)
             table[rows] -= rate * len(rows) ** 0.5 * weights[:, None] * back[None, :]
-            touched[rows] = True
     table[~touched] = 0
     model = LanguageModel(languages, (table @ layer).astype(np.float32), touched)
     if held:
         found = [model.raw(piece) for _, _, _, piece in held]
-        raw, seen = np.array([x for x, _ in found]), np.array([x for _, x in found])
+        raw = np.array([x for x, _, _ in found])
         y = np.array([y for _, _, y, _ in held])
         losses = {}
         for t in np.geomspace(0.05, 5, 40):
@@ -159,10 +182,29 @@ def train(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
         model.temperature = float(min(losses, key=losses.get))
         scores = _softmax(raw / model.temperature).max(axis=1)
         model.least_score = float(min(np.quantile(scores, REJECTED), max(LEAST_SCORE, 1.2 / len(languages))))
-        model.least_seen = float(min(np.quantile(seen, REJECTED), LEAST_SEEN))
+        languages_met = met.sum(axis=0)
+        foreign = [float(weights @ (languages_met[rows] > met[y, rows])) for rows, weights, y, _ in held]
+        model.least_seen = least_shares([x for _, x, _ in found], foreign, [n for _, _, n in found])
     return model
 
 
+def least_shares(own: list[float], foreign: list[float], counts: list[int]) -> tuple[float, ...]:
+    """The least known share by length class, from pieces' shares with and without their language.
+
+    It lies half-way between the two where they are apart, and rejects no more than REJECTED
+    of the pieces where they aren't: never above LEAST_SEEN, which stands alone where pieces
+    are too few. No class asks for more than a longer one.
+    """
+    classes, own, foreign = np.array([length_class(n) for n in counts]), np.array(own), np.array(foreign)
+    shares = list(LEAST_SEEN)
+    for k in range(CLASSES):
+        inside = classes == k
+        if inside.sum() >= ENOUGH:
+            low, high = np.quantile(own[inside], REJECTED), np.quantile(foreign[inside], UNLEARNED)
+            shares[k] = min(shares[k], float((low + high) / 2 if high < low else low))
+    return tuple(min(shares[k:]) for k in range(CLASSES))
+
+
 def held_out(id_col: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 5 == 0, F.lit(False))
 

@@ -1,6 +1,7 @@
 """Operators on single texts: SentencePiece ids, license scan, language, toxicity."""
 
 import hashlib
+import math
 import random
 import re
 import struct
@@ -178,6 +179,59 @@ def test_languages_are_learned_and_odd_texts_rejected(spark, documents):
     assert language.identify(odd, none).where("lang_pred <> 'und'").count() == 0
 
 
+#: Text in seven languages that no document is in, and program code.
+UNLEARNED = {
+    "it": "La mattina seguente il vecchio pescatore scese verso il porto con la sua rete sulle spalle e guardò il mare che si stendeva calmo davanti alle case del paese senza dire una parola",
+    "pt": "Na manhã seguinte o velho pescador desceu até ao porto com a rede aos ombros e olhou o mar que se estendia calmo diante das casas da aldeia sem dizer uma palavra",
+    "nl": "De volgende ochtend liep de oude visser naar de haven met zijn net over de schouder en keek naar de zee die rustig voor de huizen van het dorp lag zonder een woord te zeggen",
+    "pl": "Następnego ranka stary rybak zszedł do portu z siecią na ramieniu i patrzył na morze które spokojnie leżało przed domami wsi nie mówiąc ani słowa do nikogo",
+    "tr": "Ertesi sabah yaşlı balıkçı omzunda ağıyla limana indi ve köyün evlerinin önünde sakin sakin uzanan denize tek bir söz söylemeden uzun uzun baktı durdu sonra eve döndü",
+    "fi": "Seuraavana aamuna vanha kalastaja käveli satamaan verkko olkapäällään ja katseli merta joka lepäsi tyynenä kylän talojen edessä sanomatta sanaakaan kenellekään joka kulki silloin ohi hänen luotaan illalla",
+    "sw": "Asubuhi iliyofuata mvuvi mzee alishuka hadi bandarini akiwa na wavu begani na akaitazama bahari iliyotulia mbele ya nyumba za kijiji bila kusema neno lolote kwa mtu yeyote",
+    "code": "def parse ( self , xs ) : for i in range ( len ( xs ) ) : if xs [ i ] is None : continue yield xs [ i ] . strip ( ) . lower ( ) return dict ( zip ( keys , vals ) ) import os , sys",
+}
+
+
+def test_unlearned_languages_are_rejected_and_clean_documents_kept(spark, documents):
+    model = language.fit_languages(documents)
+    rng = random.Random(5)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(40)]
+    texts = {**{name: text.split() for name, text in UNLEARNED.items()}, "noise": noise}
+    for name, words in texts.items():
+        pieces = [" ".join(words[at : at + n]) for n in range(21, len(words) + 1) for at in range(len(words) - n + 1)]
+        rejected = sum(not model.predict(piece)[2] for piece in pieces)
+        assert rejected * 2 >= len(pieces) > 0, name
+    held = language.identify(documents.where(language.held_out("doc_id")), model)
+    assert held.where("not lang_accepted").count() <= held.count() // 100
+
+
+def test_scores_by_plain_arithmetic(documents):
+    """Average of rows and softmax, subword by subword."""
+    model = language.fit_languages(documents)
+    for text in ["Der Mann und the", "é", "a b", *[r.text for r in documents.where("doc_id < 12").collect()]]:
+        data, rows = language.folded(text), []
+        for n, order in enumerate((2, 3, 4)):
+            for at in range(len(data) - order + 1):
+                part = data[at : at + order]
+                if b" " in part[1:-1] or part[:1] == part[-1:] == b" ":
+                    continue
+                h = 2166136261 + n
+                for byte in part:
+                    h = ((h ^ byte) * 16777619) % 2**32
+                rows.append((h ^ (h >> 15)) % language.BUCKETS + n * language.BUCKETS)
+        means = [sum(float(model.logits[r][k]) for r in rows) / len(rows) for k in range(len(model.languages))]
+        powers = [math.exp(x / model.temperature) for x in means]
+        best = max(range(len(powers)), key=powers.__getitem__)
+        found, score, _ = model.predict(text)
+        assert found == model.languages[best] and abs(score - powers[best] / sum(powers)) < 1e-6
+
+
+def test_least_shares_by_length():
+    own, foreign = [0.99] * 40 + [0.7] * 40 + [0.99] * 5, [0.3] * 40 + [0.9] * 40 + [0.3] * 5
+    counts = [300] * 40 + [2000] * 40 + [70] * 5
+    assert language.least_shares(own, foreign, counts) == pytest.approx((0.5, 0.6, 0.645, 0.645, 0.7, 0.7))
+
+
 def test_language_learning_leaves_held_out_documents_alone(documents):
     """Labels of held-out documents don't matter."""
     broken = documents.withColumn("lang", F.when(language.held_out("doc_id"), "zz").otherwise(F.col("lang")))
