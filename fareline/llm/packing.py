@@ -2,11 +2,13 @@
 
 A solution is a set of bins, and bins, not items, are what is inherited: a child takes
 whole well-filled bins of one parent, loses the bins of the other that hold the same
-items, and puts the items so displaced back by best fit. Documents are dealt at random
-to packing problems of some thousand pieces. Each problem is evolved on several islands,
-one Spark task group each; between epochs every island gets the best solution of its
-neighbour. A problem whose solution reaches the lower bound, the tokens divided by the
-capacity, is solved and no longer evolved.
+items, and puts the items so displaced back: first one or two at a time in exchange for
+one or two lesser ones of a bin, which fills it better (dominance), then by best fit.
+Documents are dealt at random to packing problems of some thousand pieces. Each problem
+is evolved on several islands that start from different packings, one Spark task group
+each; between epochs every island gets the best solution of its neighbour. A problem is
+evolved until its best solution has as few bins as the lengths allow, or some epochs
+have brought no gain.
 """
 
 from __future__ import annotations
@@ -27,10 +29,12 @@ from fareline.llm.words import load_words
 CAPACITY = 4096
 END_ID = 1
 PROBLEM_PIECES = 8192
-ISLANDS = 2
-EPOCHS = 2
-GENERATIONS = 4
-POPULATION = 4
+#: Epochs end at EPOCHS, or after PATIENCE of them without a gain on any island.
+ISLANDS, EPOCHS, PATIENCE = 3, 8, 2
+#: Children of an island in an epoch, and its members.
+GENERATIONS, POPULATION = 30, 8
+#: Displaced items that are tried in pairs, and items of a bin that are given in pairs.
+PAIRED, GIVEN = 256, 24
 
 Bins = list[list[int]]
 
@@ -58,12 +62,55 @@ def fitness(bins: Bins, lengths: np.ndarray, capacity: int) -> tuple[int, float]
     return -len(bins), float((fills**2).sum())
 
 
+def exchange(bins: Bins, free: list[int], lengths: np.ndarray, capacity: int, rng: np.random.Generator) -> tuple[Bins, list[int]]:
+    """Dominance: one or two items of a bin for one or two free ones that fill it better.
+
+    Bins come in random order, each as long as it gains. What is free afterwards is less
+    than before, and no item is lost. Returns the bins and the free items.
+    """
+    bins = [list(b) for b in bins]
+    free = sorted(free, key=lambda item: lengths[item])
+    for n in rng.permutation(len(bins)):
+        b = bins[n]
+        room = capacity - int(lengths[b].sum())
+        while room and free:
+            sizes = lengths[free]
+            own = lengths[b]
+            # Given: nothing, one item, or two; taken: one free item, or two.
+            one, two = np.triu_indices(min(len(b), GIVEN), 1)
+            given = np.concatenate(([0], own, own[one] + own[two]))
+            single = np.searchsorted(sizes, given + room, "right") - 1
+            gain = np.where(single >= 0, sizes[single] - given, 0)
+            start = max(0, len(free) - PAIRED)
+            tail = sizes[start:]
+            other = np.searchsorted(tail, (given + room)[:, None] - tail[None, :], "right") - 1
+            other = np.minimum(other, np.arange(len(tail)) - 1)
+            gains = np.where(other >= 0, tail[None, :] + tail[other] - given[:, None], 0)
+            best_one, best_two = int(gain.argmax()), int(gains.argmax())
+            if max(gain[best_one], gains.flat[best_two]) <= 0:
+                break
+            if gain[best_one] >= gains.flat[best_two]:
+                out, taken = best_one, [int(single[best_one])]
+            else:
+                out, at = divmod(best_two, len(tail))
+                taken = [start + at, start + int(other[out, at])]
+            places = [] if out == 0 else [out - 1] if out <= len(b) else [one[out - 1 - len(b)], two[out - 1 - len(b)]]
+            back = [b[p] for p in places]
+            b = [item for p, item in enumerate(b) if p not in places] + [free[t] for t in taken]
+            free = [item for t, item in enumerate(free) if t not in taken]
+            for item in back:
+                bisect.insort(free, item, key=lambda i: lengths[i])
+            room = capacity - int(lengths[b].sum())
+        bins[n] = b
+    return bins, free
+
+
 def crossover(one: Bins, two: Bins, lengths: np.ndarray, capacity: int, rng: np.random.Generator) -> Bins:
-    """Injects a run of the fuller bins of `two` into `one`."""
+    """Injects a run of the fuller bins of `two` into `one`, and puts back what that displaces."""
     fuller = sorted(two, key=lambda b: -int(lengths[b].sum()))
     fuller = fuller[: max(1, len(fuller) // 2)]
     first = int(rng.integers(len(fuller)))
-    injected = fuller[first : first + max(1, len(fuller) // 4)]
+    injected = fuller[first : first + max(1, int(rng.integers(1, len(fuller) // 2 + 2)))]
     inside = {item for b in injected for item in b}
     kept, displaced = [], []
     for b in one:
@@ -71,42 +118,74 @@ def crossover(one: Bins, two: Bins, lengths: np.ndarray, capacity: int, rng: np.
             kept.append(b)
         else:
             displaced += [item for item in b if item not in inside]
-    # The emptiest bin is opened as well, which is the mutation.
+    # The emptiest bins are opened as well, and one at random, which is the mutation.
+    kept.sort(key=lambda b: -int(lengths[b].sum()))
+    for _ in range(min(2, len(kept))):
+        displaced += kept.pop()
     if kept:
-        displaced += kept.pop(min(range(len(kept)), key=lambda n: int(lengths[kept[n]].sum())))
+        displaced += kept.pop(int(rng.integers(len(kept))))
+    bins, displaced = exchange(injected + kept, displaced, lengths, capacity, rng)
     displaced.sort(key=lambda item: -int(lengths[item]))
-    return best_fit(displaced, lengths, injected + kept, capacity)
+    return best_fit(displaced, lengths, bins, capacity)
+
 
+def first_population(
+    lengths: np.ndarray, capacity: int, size: int, rng: np.random.Generator, shake: float = 0.2
+) -> list[Bins]:
+    """Best-fit decreasing, and best fit after shaking the lengths that order the items.
 
-def first_population(lengths: np.ndarray, capacity: int, size: int, rng: np.random.Generator) -> list[Bins]:
-    """Best-fit decreasing, and best fit after shaking the lengths that order the items."""
+    shake 0 keeps the order by length, 1 makes it nearly random.
+    """
     order = np.argsort(-lengths, kind="stable")
     found = [best_fit(order.tolist(), lengths, [], capacity)]
     if len(found[0]) > lower_bound(lengths, capacity):
         for _ in range(size - 1):
-            shaken = np.argsort(-lengths * rng.uniform(0.8, 1.2, len(lengths)), kind="stable")
+            shaken = np.argsort(-lengths * rng.uniform(1 - shake, 1, len(lengths)), kind="stable")
             found.append(best_fit(shaken.tolist(), lengths, [], capacity))
     return found
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    return -(-int(lengths.sum()) // capacity)
+    """The fewest bins that the lengths allow, whatever the packing.
+
+    Items over half the capacity have a bin each. Those over capacity - k take no item of
+    k or more beside them; so the items from k to half the capacity share what the other
+    large ones leave, and further bins. The greatest of this over all k.
+    """
+    lengths = np.sort(np.asarray(lengths, dtype=np.int64))
+    if not len(lengths):
+        return 0
+    sums = np.concatenate(([0], np.cumsum(lengths)))
+    half = int(np.searchsorted(lengths, capacity // 2, "right"))
+    k = np.unique(np.concatenate(([0], lengths[:half])))
+    low, high = np.searchsorted(lengths, k, "left"), np.searchsorted(lengths, capacity - k, "right")
+    high = np.maximum(high, half)
+    beside = (high - half) * capacity - (sums[high] - sums[half])
+    further = np.maximum(0, -(-(sums[half] - sums[low] - beside) // capacity))
+    return int((len(lengths) - half + further).max())
 
 
 def evolve(
     population: list[Bins], lengths: np.ndarray, capacity: int, generations: int, rng: np.random.Generator
 ) -> list[Bins]:
-    """Replaces the worst by a child of two others, again and again; best first."""
-    score = lambda bins: fitness(bins, lengths, capacity)
-    population = sorted(population, key=score, reverse=True)
+    """Puts a child of two members in the place of the worst, again and again; best first.
+
+    Each parent is the better of two drawn. A child no better than the worst, or as good
+    as another member, isn't taken, so that members stay different.
+    """
+    bound = lower_bound(lengths, capacity)
+    scored = sorted(((fitness(bins, lengths, capacity), bins) for bins in population), key=lambda m: m[0], reverse=True)
     for _ in range(generations):
-        if len(population) < 2 or len(population[0]) <= lower_bound(lengths, capacity):
+        if len(scored) < 2 or len(scored[0][1]) <= bound:
             break
-        one, two = rng.permutation(len(population))[:2]
-        child = crossover(population[one], population[two], lengths, capacity, rng)
-        if score(child) > score(population[-1]):
-            population = sorted([*population[:-1], child], key=score, reverse=True)
-    return population
+        one, two = (int(rng.integers(len(scored), size=2).min()) for _ in range(2))
+        if one == two:
+            two = (one + 1) % len(scored)
+        child = crossover(scored[one][1], scored[two][1], lengths, capacity, rng)
+        score = fitness(child, lengths, capacity)
+        if score > scored[-1][0] and all(score != other for other, _ in scored):
+            scored = sorted([*scored[:-1], (score, child)], key=lambda m: m[0], reverse=True)
+    return [bins for _, bins in scored]
 
 
 def _coded(bins: Bins, items: int) -> bytes:
@@ -166,14 +245,17 @@ def pack_pieces(
     islands: int = ISLANDS,
     epochs: int = EPOCHS,
     generations: int = GENERATIONS,
+    patience: int = PATIENCE,
 ) -> DataFrame:
     """Pieces (durable; unique uid, length up to the capacity) with sequence_id and offset.
 
     Full pieces are sequences of their own. The others are dealt by a hash of uid to as
     many problems as keep each at about `problem_pieces`, so no task holds more than a
     few thousand lengths, however the documents are distributed; each problem wastes less
-    than one sequence against packing all together. Null ids and repeated rows are pieces
-    like any other. Empty input gives no rows.
+    than one sequence against packing all together. Island 0 starts from best-fit
+    decreasing, the others from orders that are shaken the more the higher their number.
+    Epochs cost a job each for the problems that still go on. Null ids and repeated rows
+    are pieces like any other. Empty input gives no rows.
     """
     full = pieces.where(F.col("length") == capacity)
     open_ = pieces.where(F.col("length") < capacity)
@@ -185,33 +267,41 @@ def pack_pieces(
         problem, lengths = int(group["problem"].iloc[0]), group["length"].to_numpy()
         first = first_population(lengths, capacity, 1, np.random.default_rng(problem))
         solved = len(first[0]) <= lower_bound(lengths, capacity)
-        state = {"problem": problem, "lengths": lengths.astype("<i4").tobytes(), "solved": solved}
+        state = {"problem": problem, "lengths": lengths.astype("<i4").tobytes(), "solved": solved, "stale": 0}
         members = [_coded(b, len(lengths)) for b in first]
         return pd.DataFrame([state | {"island": i, "members": members} for i in range(1 if solved else islands)])
 
     def epoch(group: pd.DataFrame) -> pd.DataFrame:
         row = group.iloc[0]
+        island = int(row["island"])
         lengths = np.frombuffer(row["lengths"], dtype="<i4").astype(np.int64)
-        rng = np.random.default_rng([int(row["problem"]), int(row["island"]), len(row["members"])])
+        rng = np.random.default_rng([int(row["problem"]), island, zlib.crc32(b"".join(row["members"]))])
         population = [_bins(m) for m in row["members"]]
+        before = len(population[0])
         if len(population) < POPULATION:
-            population += first_population(lengths, capacity, POPULATION, rng)[1:]
+            shake = 0.2 + 0.8 * island / max(1, islands - 1)
+            shaken = first_population(lengths, capacity, POPULATION + 1, rng, shake)[1:]
+            population = shaken if island else population + shaken[1:]
         best = evolve(population, lengths, capacity, generations, rng)[:POPULATION]
         solved = len(best[0]) <= lower_bound(lengths, capacity)
-        kept = {"problem": row["problem"], "island": row["island"], "lengths": row["lengths"], "solved": solved}
+        stale = 0 if len(best[0]) < before else int(row["stale"]) + 1
+        kept = {"problem": row["problem"], "island": island, "lengths": row["lengths"], "solved": solved, "stale": stale}
         return pd.DataFrame([kept | {"members": [_coded(b, len(lengths)) for b in best]}])
 
-    schema = "problem int, island int, lengths binary, solved boolean, members array<binary>"
+    schema = "problem int, island int, lengths binary, solved boolean, stale int, members array<binary>"
     state = durable(dealt.select("problem", "uid", "length").groupBy("problem").applyInPandas(start, schema))
     for _ in range(epochs):
         going = state.where("not solved")
         if going.isEmpty():
             break
-        done = going.groupBy("problem", "island").applyInPandas(epoch, schema)
+        done = durable(going.groupBy("problem", "island").applyInPandas(epoch, schema))
+        # A problem ends for all its islands at once.
+        ended = done.groupBy("problem").agg((F.max("solved") | (F.min("stale") >= patience)).alias("ended"))
         # Migration: the neighbour's best joins each island's members.
         elite = done.select("problem", ((F.col("island") + 1) % islands).alias("island"), F.expr("members[0]").alias("elite"))
-        moved = done.join(elite, ["problem", "island"]).withColumn("members", F.expr("array_append(members, elite)"))
-        state = durable(state.where("solved").unionByName(moved.drop("elite")))
+        moved = done.join(elite, ["problem", "island"]).join(ended, "problem")
+        moved = moved.withColumn("members", F.expr("array_append(members, elite)")).withColumn("solved", F.col("ended"))
+        state = durable(state.where("solved").unionByName(moved.drop("elite", "ended")))
 
     def place(key: tuple, pieces_: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
         pieces_ = pieces_.sort_values("uid")

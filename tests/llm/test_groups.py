@@ -365,14 +365,74 @@ def test_packed_documents(spark, documents):
     assert packing.pack_documents(table.limit(0), WORDS).count() == 0
 
 
-def test_hard_problems_are_evolved(spark):
-    """Lengths that best fit can't fill: the islands run and the packing stays whole."""
+def planted_triples(sequences, seed):
+    """Lengths that fill `sequences` sequences of 4096 without a gap, three to each."""
+    rng = np.random.default_rng(seed)
+    lengths = []
+    for _ in range(sequences):
+        one = int(rng.integers(1250, 2048))
+        two = int(rng.integers(1024, 4096 - one - 1023))
+        lengths += [one, two, 4096 - one - two]
+    return np.array(lengths)[rng.permutation(3 * sequences)]
+
+
+@pytest.mark.parametrize(("optimum", "most"), [(100, 102), (400, 404)])
+def test_hard_problems_are_evolved(spark, optimum, most):
+    """Best fit takes more than a tenth too many for these; the islands come close to the optimum."""
+    lengths = planted_triples(optimum, optimum)
+    best_fit = len(packing.first_population(lengths, 4096, 1, np.random.default_rng(0))[0])
+    assert best_fit > 1.1 * optimum
+    pieces = common.durable(spark.createDataFrame([(k, int(n)) for k, n in enumerate(lengths)], "uid long, length long"))
+    found = packing.pack_pieces(pieces).collect()
+    assert sorted(r.uid for r in found) == list(range(len(lengths)))
+    assert optimum <= check_packing(found) <= most
+
+
+def test_several_hard_problems_evolve_apart(spark):
     rng = np.random.default_rng(8)
     data = [(k, int(n)) for k, n in enumerate(rng.integers(1200, 1900, 300))]
     pieces = common.durable(spark.createDataFrame(data, "uid long, length long"))
+    plain = packing.pack_pieces(pieces, problem_pieces=120, epochs=0).collect()
     found = packing.pack_pieces(pieces, problem_pieces=120).collect()
     assert sorted(r.uid for r in found) == list(range(300))
-    assert check_packing(found) <= 300
+    assert check_packing(found) < check_packing(plain)
+
+
+def test_lower_bound_is_below_every_packing():
+    """Against all ways to pack a few items, tried one by one."""
+
+    def fewest(items, rooms):
+        if not items:
+            return len(rooms)
+        tried, least = set(), len(rooms) + len(items)
+        for n, room in enumerate([*rooms, 20]):
+            if items[0] <= room and room not in tried:
+                tried.add(room)
+                least = min(least, fewest(items[1:], [*rooms[:n], room - items[0], *rooms[n + 1 :]]))
+        return least
+
+    rng = np.random.default_rng(3)
+    equal = 0
+    for _ in range(150):
+        lengths = rng.integers(1, 20, rng.integers(1, 8))
+        bound, optimum = packing.lower_bound(lengths, 20), fewest(sorted(lengths.tolist(), reverse=True), [])
+        assert bound <= optimum
+        equal += bound == optimum
+    assert equal > 120
+    assert packing.lower_bound(np.array([], dtype=np.int64), 20) == 0
+    # Three items over half can't share, however few tokens they have in all.
+    assert packing.lower_bound(np.array([11, 11, 11]), 20) == 3
+
+
+def test_exchange_fills_bins_and_loses_nothing():
+    rng = np.random.default_rng(5)
+    for _ in range(100):
+        lengths = rng.integers(1, 40, 30)
+        bins = packing.best_fit(list(range(18)), lengths, [], 60)
+        after, free = packing.exchange(bins, list(range(18, 30)), lengths, 60, rng)
+        assert sorted([i for b in after for i in b] + free) == list(range(30))
+        assert all(lengths[b].sum() <= 60 for b in after)
+        assert all(lengths[b].sum() >= lengths[a].sum() for a, b in zip(bins, after, strict=True))
 
 
 def test_evolution_never_gets_worse_and_loses_nothing():
