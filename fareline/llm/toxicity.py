@@ -12,10 +12,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareline.llm.common import map_columns
@@ -107,16 +109,69 @@ def _choose(texts: list[str], y: np.ndarray) -> dict[str, int]:
     return {f: i for i, (_, f) in enumerate(sorted(scored)[:FEATURES])}
 
 
-def train(texts: list[str], toxic: list[int]) -> ToxicityModel:
-    """The chain, and the threshold that does best on out-of-fold probabilities."""
+#: Weights and bias of a fit, and its probabilities for the rows left out of it.
+Fit = tuple[np.ndarray, float, np.ndarray]
+
+
+def fit_without(
+    present: list[list[int]], width: int, earlier: np.ndarray, target: np.ndarray, fold: int
+) -> Fit:
+    """A link fitted to all rows but those of one fold, the rows numbered round the folds.
+
+    present: numbers of each row's features; earlier: out-of-fold probabilities of the
+    links before. fold FOLDS leaves no row out.
+    """
+    x = np.zeros((len(present), width + earlier.shape[1]), np.float32)
+    for i, at in enumerate(present):
+        x[i, at] = 1
+    x[:, width:] = earlier
+    left = np.arange(len(present)) % FOLDS == fold
+    weights, bias = _fit(x[~left], target[~left])
+    return weights, bias, (1 / (1 + np.exp(-np.clip(x[left] @ weights + bias, -50, 50)))).astype(np.float32)
+
+
+def _fits_in_turn(present: list[list[int]], width: int, earlier: np.ndarray, target: np.ndarray) -> list[Fit]:
+    return [fit_without(present, width, earlier, target, fold) for fold in range(FOLDS + 1)]
+
+
+def fits_as_tasks(spark: SparkSession) -> Callable[..., list[Fit]]:
+    """The fits of a link as Spark tasks, one for each fold and one for all rows.
+
+    Tasks get the sample, whose size is bounded, as feature numbers, and send weights back.
+    """
+
+    def fits(present: list[list[int]], width: int, earlier: np.ndarray, target: np.ndarray) -> list[Fit]:
+        shared = spark.sparkContext.broadcast((present, width, earlier, target))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for fold in batch["fold"]:
+                    weights, bias, out = fit_without(*shared.value, int(fold))
+                    yield pd.DataFrame(
+                        [{"fold": fold, "weights": weights.tobytes(), "bias": bias, "out": out.tobytes()}]
+                    )
+
+        folds = spark.range(0, FOLDS + 1, 1, FOLDS + 1).withColumnRenamed("id", "fold")
+        rows = folds.mapInPandas(run, "fold long, weights binary, bias double, out binary").collect()
+        shared.unpersist()
+        return [
+            (np.frombuffer(r.weights, np.float32), r.bias, np.frombuffer(r.out, np.float32))
+            for r in sorted(rows, key=lambda r: r.fold)
+        ]
+
+    return fits
+
+
+def train(texts: list[str], toxic: list[int], fits: Callable[..., list[Fit]] = _fits_in_turn) -> ToxicityModel:
+    """The chain, and the threshold that does best on out-of-fold probabilities.
+
+    fits gives a link's fit without each fold in turn, and at last to all rows.
+    """
     y = np.array(toxic, dtype=np.float32)
     if len(y) < FOLDS or y.min() == y.max():
         return ToxicityModel({}, [(TOXIC, np.zeros(0, np.float32), -50.0)])
     model = ToxicityModel(_choose(texts, y))
-    x = np.zeros((len(texts), len(model.features)), np.float32)
-    for i, text in enumerate(texts):
-        x[i, model.present(text)] = 1
-    fold = np.arange(len(y)) % FOLDS
+    present = [model.present(text) for text in texts]
     labels = {
         name: y * np.array([not _words(t).isdisjoint(seeds) for t in texts]) for name, seeds in CATEGORIES.items()
     }
@@ -124,15 +179,12 @@ def train(texts: list[str], toxic: list[int]) -> ToxicityModel:
     for name, target in [*labels.items(), (TOXIC, y)]:
         if target.sum() < FOLDS and name != TOXIC:
             continue
+        *parts, (weights, bias, _) = fits(present, len(model.features), earlier, target)
+        model.links.append((name, weights, bias))
         # Later links see out-of-fold probabilities of this one, never its own fit.
         out = np.zeros(len(y), np.float32)
-        for k in range(FOLDS):
-            part = fold != k
-            weights, bias = _fit(np.hstack((x[part], earlier[part])), target[part])
-            score = np.hstack((x[~part], earlier[~part])) @ weights + bias
-            out[~part] = 1 / (1 + np.exp(-np.clip(score, -50, 50)))
-        weights, bias = _fit(np.hstack((x, earlier)), target)
-        model.links.append((name, weights, bias))
+        for k, (_, _, left) in enumerate(parts):
+            out[k::FOLDS] = left
         earlier = np.hstack((earlier, out[:, None]))
     model.threshold = _threshold(earlier[:, -1], y)
     return model
@@ -171,7 +223,7 @@ def fit_toxicity(
     )
     rows = sorted({(r[0], r[1]) for r in rows})
     order = np.random.default_rng(11).permutation(len(rows))
-    return train([rows[i][0] for i in order], [rows[i][1] for i in order])
+    return train([rows[i][0] for i in order], [rows[i][1] for i in order], fits_as_tasks(docs.sparkSession))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ import struct
 import sys
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -285,6 +286,55 @@ def test_toxicity_generalises_to_unseen_documents(spark, toxic_model):
     assert hit / max(1, flagged) > 0.9
 
 
+def test_toxicity_by_plain_arithmetic(spark, toxic_model):
+    """Each link's probability, added up term by term from the chain's weights."""
+    docs, _, model = toxic_model
+    by_number = {n: f for f, n in model.features.items()}
+    found = toxicity.score_toxicity(docs.limit(300), model).collect()
+    assert len(found) == 300
+    for row in found:
+        every = {f for w in re.findall(r"[^\W\d_]+", (row.text or "").lower()) for f in toxicity.word_features(w)}
+        earlier = []
+        for name, weights, bias in model.links:
+            score = bias + sum(float(w) for n, w in enumerate(weights[: len(by_number)]) if by_number[n] in every)
+            score += sum(float(w) * p for w, p in zip(weights[len(by_number) :], earlier, strict=True))
+            earlier.append(1 / (1 + math.exp(-score)))
+            assert row[f"p_{name}"] == pytest.approx(earlier[-1], abs=1e-4)
+        assert row.is_toxic == (bool(row.text) and row.p_toxic >= model.threshold)
+
+
+def test_links_learn_from_probabilities_of_fits_without_the_row(spark):
+    rng = np.random.default_rng(4)
+    present = [sorted(rng.choice(6, 3, replace=False).tolist()) for _ in range(83)]
+    target = np.array([float(0 in at) for at in present], np.float32)
+    earlier = rng.random((83, 1)).astype(np.float32)
+    here = toxicity._fits_in_turn(present, 6, earlier, target)
+    tasks = toxicity.fits_as_tasks(spark)(present, 6, earlier, target)
+    assert len(here) == len(tasks) == toxicity.FOLDS + 1 and not len(here[-1][2])
+    for (weights, bias, out), (other, other_bias, other_out) in zip(here, tasks, strict=True):
+        assert weights == pytest.approx(other, abs=1e-4) and bias == pytest.approx(other_bias, abs=1e-4)
+        assert out == pytest.approx(other_out, abs=1e-4)
+    for fold in range(toxicity.FOLDS):
+        # Labels of the rows left out have no say in their own probabilities.
+        turned = target.copy()
+        turned[fold :: toxicity.FOLDS] = 1 - turned[fold :: toxicity.FOLDS]
+        assert (toxicity.fit_without(present, 6, earlier, turned, fold)[2] == here[fold][2]).all()
+        assert len(here[fold][2]) == len(range(fold, 83, toxicity.FOLDS))
+
+
+def test_fit_ends_where_no_weight_lessens_the_loss():
+    """The gradient of the penalised loss, summed row by row, is near zero."""
+    rng = np.random.default_rng(6)
+    x = (rng.random((200, 8)) < 0.4).astype(np.float32)
+    y = (x[:, 0] + rng.random(200) > 1.2).astype(np.float32)
+    weights, bias = toxicity._fit(x, y)
+    slope = [toxicity.PENALTY * float(w) for w in weights]
+    for row, label in zip(x.tolist(), y.tolist(), strict=True):
+        p = 1 / (1 + math.exp(-bias - sum(a * float(b) for a, b in zip(row, weights, strict=True))))
+        slope = [s + (p - label) * a for s, a in zip(slope, row, strict=True)]
+    assert max(map(abs, slope)) / 200 < 0.01
+
+
 def test_toxicity_without_labels_flags_nothing(spark):
     docs = spark.createDataFrame([(1, "idiot")], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, toxic int")
