@@ -64,6 +64,10 @@ def minutes_since_last_ride(now: Column) -> Column:
     return minutes_crossed(F.max("pickup_timestamp"), now)
 
 
+def rides_last_24_hours(now: Column) -> Column:
+    return F.count_if(F.col("pickup_timestamp") >= now - F.expr("interval 1 day"))
+
+
 def measure(
     fact: DataFrame,
     names: Sequence[str] | None = None,
@@ -72,16 +76,23 @@ def measure(
 ) -> DataFrame:
     """Evaluate measures per group of ``by``, or once over everything; all if none are named.
 
-    One scan and one partially aggregated shuffle. ``now`` adds the clock measure.
+    One scan and one partially aggregated shuffle. ``now`` adds the clock measures: the
+    minutes since a group's last ride and, over everything, the rides of the last day.
     """
     columns = [MEASURES[name]().alias(name) for name in names or MEASURES]
     if now is not None:
         columns.append(minutes_since_last_ride(now).alias("minutes_since_last_ride"))
+        if not by:
+            columns.append(rides_last_24_hours(now).alias("rides_last_24_hours"))
     return fact.groupBy(*by).agg(*columns)
 
 
 def with_rides_last_24_hours(report: DataFrame, fact: DataFrame, now: Column) -> DataFrame:
-    """Append the rides of the last day over the *whole* fact, whatever the report's context."""
+    """Append the rides of the last day over the *whole* fact, whatever the report's context.
+
+    A report over the whole fact without groups has them already, from its own scan. For
+    others the fact is scanned once more, its times only, the bound pushed to the scan.
+    """
     recent = fact.where(F.col("pickup_timestamp") >= now - F.expr("interval 1 day"))
     return report.withColumn("rides_last_24_hours", recent.agg(rides()).scalar())
 

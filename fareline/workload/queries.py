@@ -414,8 +414,7 @@ def rate_card_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rides = fact(spark, sf_dir)
-    return rounded(with_rides_last_24_hours(measure(rides, now=now()), rides, now()))
+    return rounded(measure(fact(spark, sf_dir), now=now()))
 
 
 @query
