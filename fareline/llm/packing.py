@@ -16,6 +16,7 @@ from __future__ import annotations
 import bisect
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,8 @@ ISLANDS, EPOCHS, PATIENCE = 3, 8, 2
 GENERATIONS, POPULATION = 30, 8
 #: Displaced items that are tried in pairs, and items of a bin that are given in pairs.
 PAIRED, GIVEN = 256, 24
+#: Tasks of an epoch; more islands than that share tasks evenly.
+MOST_TASKS = 10_000
 
 Bins = list[list[int]]
 
@@ -271,8 +274,12 @@ def pack_pieces(
         members = [_coded(b, len(lengths)) for b in first]
         return pd.DataFrame([state | {"island": i, "members": members} for i in range(1 if solved else islands)])
 
-    def epoch(group: pd.DataFrame) -> pd.DataFrame:
-        row = group.iloc[0]
+    def epoch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.to_dict("records"):
+                yield pd.DataFrame([evolved(row)])
+
+    def evolved(row: dict) -> dict:
         island = int(row["island"])
         lengths = np.frombuffer(row["lengths"], dtype="<i4").astype(np.int64)
         rng = np.random.default_rng([int(row["problem"]), island, zlib.crc32(b"".join(row["members"]))])
@@ -285,16 +292,18 @@ def pack_pieces(
         best = evolve(population, lengths, capacity, generations, rng)[:POPULATION]
         solved = len(best[0]) <= lower_bound(lengths, capacity)
         stale = 0 if len(best[0]) < before else int(row["stale"]) + 1
-        kept = {"problem": row["problem"], "island": island, "lengths": row["lengths"], "solved": solved, "stale": stale}
-        return pd.DataFrame([kept | {"members": [_coded(b, len(lengths)) for b in best]}])
+        return row | {"solved": solved, "stale": stale, "members": [_coded(b, len(lengths)) for b in best]}
 
     schema = "problem int, island int, lengths binary, solved boolean, stale int, members array<binary>"
     state = durable(dealt.select("problem", "uid", "length").groupBy("problem").applyInPandas(start, schema))
     for _ in range(epochs):
         going = state.where("not solved")
-        if going.isEmpty():
+        rows = going.count()
+        if not rows:
             break
-        done = durable(going.groupBy("problem", "island").applyInPandas(epoch, schema))
+        # A row is little to read and long to evolve, so rows are spread by number: a stated
+        # number of partitions isn't coalesced by their bytes.
+        done = durable(going.repartition(min(rows, MOST_TASKS)).mapInPandas(epoch, schema))
         # A problem ends for all its islands at once.
         ended = done.groupBy("problem").agg((F.max("solved") | (F.min("stale") >= patience)).alias("ended"))
         # Migration: the neighbour's best joins each island's members.
