@@ -73,6 +73,13 @@ def test_empty_batch_changes_nothing(spark, rows, table):
     assert content(table, spark) == {"a": (1, 1.0)}
 
 
+def test_a_first_load_isnt_staged(spark, rows, table):
+    assert table.merge(rows([], DDL)) == 0 and table.is_empty(spark)
+    assert table.merge(rows([ride("a", 1, 1.0), ride("a", 1, 2.0, 5), ride("b", 2, 3.0)], DDL)) == 2
+    assert content(table, spark) == {"a": (1, 2.0), "b": (2, 3.0)}
+    assert not Path(table.root, "batch").exists()
+
+
 def test_a_merge_cut_short_is_healed_by_its_repetition(spark, rows, table, monkeypatch):
     """The moved row has been written, its old month not yet removed."""
     table.merge(rows([ride("a", 1, 1.0), ride("b", 2, 2.0)], DDL))
@@ -130,6 +137,15 @@ def test_rescue_keeps_everything_that_does_not_fit(spark, rows):
     assert parsed(spark, rows, '{"id":1, broken') == [(None, None, None, '{"_corrupt_record":"{\\"id\\":1, broken"}')]
 
 
+def test_fitted_names_are_listed_once_a_record(spark, rows):
+    """Not once for each of its fields, which takes the square of their number."""
+    schema = spark.createDataFrame([], "id int, name string").schema
+    rescued = parse(rows([('{"id":"x","id":"y","name":null,"z":1,"n":null}',)], "value string"), schema)
+    assert json.loads(rescued.first()["_rescued_data"], object_pairs_hook=list) == [("id", "x"), ("id", "y"), ("z", "1")]
+    plan = rescued._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains(lambda " in plan and "array_contains(array_compact" not in plan
+
+
 def test_lines_may_hold_arrays_of_records(spark, rows):
     found = parsed(spark, rows, '[{"id":1},{"id":2,"z":0}]', "", '{"id":3}', '[{"id":4}')
     assert [r[0] for r in found] == [1, 2, 3, None]
