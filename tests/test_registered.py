@@ -9,7 +9,9 @@ import pytest
 from compare import compare, database
 
 from __spark_entry__ import entry, oracle_sql
+from fareline.workload import queries
 from fareline.workload.queries import QUERIES
+from fareline.workload.rides import silver_rides
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -32,6 +34,28 @@ def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, SF_DIR, name) is None
 
 
+def test_rides_of_one_row_group_are_derived_in_many_tasks(spark, tmp_path):
+    """The table of orders is one file with one row group, which one task reads."""
+    silver_rides(spark, "/root/testdata/sf0.1").write.parquet(str(tmp_path / "rides"))
+    sizes = [path.stat().st_size for path in (tmp_path / "rides").glob("*.parquet")]
+    assert len(sizes) >= 2 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
+
+
+def test_of_the_first_state_only_what_is_asked_for_is_stored(spark, monkeypatch):
+    stored = {}
+
+    def spy(rows, purpose):
+        stored[purpose] = rows.columns
+        return keep(rows, purpose)
+
+    keep = queries.stored
+    monkeypatch.setattr(queries, "stored", spy)
+    for name in ("fct_upsert", "table_changes"):
+        QUERIES[name](spark, SF_DIR)
+    assert set(stored) == {"fct-upsert-source", "table-changes-source", "table-changes-first"}
+    assert stored["table-changes-first"] == ["ride_id", "date_key", "ride_status_key", "total_fare"]
+
+
 @pytest.mark.parametrize("absent", ["fareline.llm", "corpus_pipeline", "ahocorasick"])
 def test_the_rest_goes_on_without_the_training_data_operators(absent):
     """In a process of its own, where the module, or one that only they need, can't be imported."""
