@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -78,9 +78,11 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     weights, bias = np.zeros(width, np.float32), float(np.log(share / (1 - share)))
     ahead, ahead_bias, momentum = weights.copy(), bias, 1.0
-    rate = 4.0 / (np.square(x).sum(axis=1).mean() + 1 + PENALTY / n)
+    rate = 4.0 / (np.einsum("ij,ij->i", x, x).mean() + 1 + PENALTY / n)
     for _ in range(ROUNDS):
-        error = (1 / (1 + np.exp(-np.clip(x @ ahead + ahead_bias, -50, 50))) - y).astype(np.float32)
+        # Weights of doubles would have all of x copied as doubles.
+        score = x @ ahead.astype(np.float32) + ahead_bias
+        error = (1 / (1 + np.exp(-np.clip(score, -50, 50))) - y).astype(np.float32)
         new = ahead - rate * (x.T @ error / n + PENALTY / n * ahead)
         new_bias = ahead_bias - rate * float(error.mean())
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
@@ -113,24 +115,31 @@ def _choose(texts: list[str], y: np.ndarray) -> dict[str, int]:
 Fit = tuple[np.ndarray, float, np.ndarray]
 
 
+def _matrix(present: Sequence[np.ndarray], width: int, earlier: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    x = np.zeros((len(rows), width + earlier.shape[1]), np.float32)
+    for i, row in enumerate(rows):
+        x[i, present[row]] = 1
+    x[:, width:] = earlier[rows]
+    return x
+
+
 def fit_without(
-    present: list[list[int]], width: int, earlier: np.ndarray, target: np.ndarray, fold: int
+    present: Sequence[np.ndarray], width: int, earlier: np.ndarray, target: np.ndarray, fold: int
 ) -> Fit:
     """A link fitted to all rows but those of one fold, the rows numbered round the folds.
 
     present: numbers of each row's features; earlier: out-of-fold probabilities of the
-    links before. fold FOLDS leaves no row out.
+    links before. fold FOLDS leaves no row out. Several run beside each other on an
+    executor, so one holds a single matrix of the rows it learns from, and no copy of it.
     """
-    x = np.zeros((len(present), width + earlier.shape[1]), np.float32)
-    for i, at in enumerate(present):
-        x[i, at] = 1
-    x[:, width:] = earlier
     left = np.arange(len(present)) % FOLDS == fold
-    weights, bias = _fit(x[~left], target[~left])
-    return weights, bias, (1 / (1 + np.exp(-np.clip(x[left] @ weights + bias, -50, 50)))).astype(np.float32)
+    learnt, out = np.flatnonzero(~left), np.flatnonzero(left)
+    weights, bias = _fit(_matrix(present, width, earlier, learnt), target[learnt])
+    score = _matrix(present, width, earlier, out) @ weights + bias
+    return weights, bias, (1 / (1 + np.exp(-np.clip(score, -50, 50)))).astype(np.float32)
 
 
-def _fits_in_turn(present: list[list[int]], width: int, earlier: np.ndarray, target: np.ndarray) -> list[Fit]:
+def _fits_in_turn(present: Sequence[np.ndarray], width: int, earlier: np.ndarray, target: np.ndarray) -> list[Fit]:
     return [fit_without(present, width, earlier, target, fold) for fold in range(FOLDS + 1)]
 
 
@@ -140,7 +149,7 @@ def fits_as_tasks(spark: SparkSession) -> Callable[..., list[Fit]]:
     Tasks get the sample, whose size is bounded, as feature numbers, and send weights back.
     """
 
-    def fits(present: list[list[int]], width: int, earlier: np.ndarray, target: np.ndarray) -> list[Fit]:
+    def fits(present: Sequence[np.ndarray], width: int, earlier: np.ndarray, target: np.ndarray) -> list[Fit]:
         shared = spark.sparkContext.broadcast((present, width, earlier, target))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,7 +180,8 @@ def train(texts: list[str], toxic: list[int], fits: Callable[..., list[Fit]] = _
     if len(y) < FOLDS or y.min() == y.max():
         return ToxicityModel({}, [(TOXIC, np.zeros(0, np.float32), -50.0)])
     model = ToxicityModel(_choose(texts, y))
-    present = [model.present(text) for text in texts]
+    # As arrays, which take a fraction of the memory of lists wherever they are sent.
+    present = [np.array(model.present(text), np.uint16) for text in texts]
     labels = {
         name: y * np.array([not _words(t).isdisjoint(seeds) for t in texts]) for name, seeds in CATEGORIES.items()
     }

@@ -6,6 +6,7 @@ import random
 import re
 import struct
 import sys
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -322,6 +323,18 @@ def test_links_learn_from_probabilities_of_fits_without_the_row(spark):
         assert len(here[fold][2]) == len(range(fold, 83, toxicity.FOLDS))
 
 
+def test_a_fit_holds_one_matrix():
+    rng = np.random.default_rng(5)
+    present = [rng.choice(800, 20, replace=False).astype(np.uint16) for _ in range(2000)]
+    target = (rng.random(2000) < 0.5).astype(np.float32)
+    tracemalloc.start()
+    try:
+        toxicity.fit_without(present, 800, np.zeros((2000, 0), np.float32), target, 0)
+        assert tracemalloc.get_traced_memory()[1] < 1.3 * 4 * 800 * 1600
+    finally:
+        tracemalloc.stop()
+
+
 def test_fit_ends_where_no_weight_lessens_the_loss():
     """The gradient of the penalised loss, summed row by row, is near zero."""
     rng = np.random.default_rng(6)
