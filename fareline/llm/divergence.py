@@ -179,19 +179,21 @@ def _pairs(words: DataFrame, grouped: DataFrame, groups: DataFrame) -> DataFrame
         "lang", "source", "item", (wide(F.col("words")) * wide(_distance(F.col("p0"), F.col("q")) - none)).alias("value")
     )
 
-    # The sources of a word meet in its row, each two of them once, for both directions.
+    # The sources of a word meet in its row, each two of them once, for both directions. Words
+    # with the same two counts change a pair alike, so shares are computed once for all of them.
     met = words.select("lang", F.explode("sources").alias("a"), "sources")
     met = met.select("lang", "a", F.explode("sources").alias("b")).where("a.source < b.source")
     met = met.select("lang", *(F.col(f"{x}.{c}").alias(f"{c}_{x}") for x in "ab" for c in ("source", "n")))
+    met = met.groupBy(*met.columns).agg(F.count(F.lit(1)).alias("words"))
     for side in "ab":
         names = [F.col(c).alias(f"{c}_{side}") for c in ("source", "total", "least")]
         met = met.join(groups.select("lang", *names, *([F.col("kept")] if side == "a" else [])), ["lang", f"source_{side}"])
     p, q = (_share(F.col(f"n_{x}"), F.col(f"total_{x}"), F.col("kept")) for x in "ab")
-    met = met.select("lang", "source_a", "source_b", p.alias("p"), q.alias("q"), F.col("least_a").alias("p0"), F.col("least_b").alias("q0"))
+    met = met.select("lang", "source_a", "source_b", "words", p.alias("p"), q.alias("q"), F.col("least_a").alias("p0"), F.col("least_b").alias("q0"))
     p, q, p0, q0 = (F.col(c) for c in ("p", "q", "p0", "q0"))
     change = lambda p, q, p0, q0: _distance(p, q) - _distance(p, q0) - _distance(p0, q) + _distance(p0, q0)
     met = met.groupBy("lang", "source_a", "source_b").agg(
-        F.sum(wide(change(p, q, p0, q0))).alias("there"), F.sum(wide(change(q, p, q0, p0))).alias("back")
+        *(F.sum(wide(F.col("words")) * wide(c)).alias(n) for c, n in ((change(p, q, p0, q0), "there"), (change(q, p, q0, p0), "back")))
     )
     met = met.select("lang", F.inline(F.array(*(
         F.struct(F.col(f"source_{x}").alias("source"), F.col(f"source_{y}").alias("item"), F.col(v).alias("value"))
