@@ -8,8 +8,12 @@ import struct
 
 from tokenizers import Tokenizer
 
-CACHED_CHUNKS, CACHED_WORDS = 200_000, 500_000
+#: Entries of a generation. Both generations of both caches take some 150 MB, and every Python
+#: worker that has packed texts keeps them through the steps that follow.
+CACHED_CHUNKS, CACHED_WORDS = 100_000, 150_000
 LONGEST_CACHED = 64
+#: Stands between words that are encoded together: always one token, which no other word has.
+BETWEEN = "0"
 
 #: Words as the file's own pattern cuts them, for the characters that PLAIN admits.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
@@ -24,8 +28,9 @@ class WordIds:
     """Packed ids (32-bit, little-endian) of texts.
 
     Ids of white-space separated chunks and of words are cached, each in two generations:
-    when the newer is full it becomes the older, and what is used again moves on. Texts with other characters or special tokens go to the library whole, as
-    do all texts if the file isn't of the kind whose cuts are known (lower case, white
+    when the newer is full it becomes the older, and what is used again moves on; long
+    ones aren't kept. Texts with other characters or special tokens go to the library
+    whole, as do all texts if the file isn't of the kind whose cuts are known (lower case, white
     space dropped, byte-level words).
     """
 
@@ -37,6 +42,8 @@ class WordIds:
         sample = "It's 12 MOST_odd ... texts, don't\tyou\nthink?  É½x²y"
         self._chunks: dict[str, bytes] = {}
         self._old_chunks: dict[str, bytes] = {}
+        between = self._tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+        self._between = between[0] if len(between) == 1 else None
         self._words: dict[str, bytes] = {}
         self._old_words: dict[str, bytes] = {}
         self._by_words = self.packed_by_words(sample) == self._whole(sample)
@@ -56,7 +63,7 @@ class WordIds:
         new = distinct.difference(self._chunks)
         if new:
             if len(self._chunks) > CACHED_CHUNKS:
-                self._chunks, self._old_chunks = {}, self._chunks
+                self._chunks, self._old_chunks = {}, _bounded(self._chunks, CACHED_CHUNKS)
                 new = distinct
             self._learn(new)
         packed = b"".join(map(self._chunks.__getitem__, chunks))
@@ -71,11 +78,12 @@ class WordIds:
         for chunk in chunks:
             packed = old.get(chunk)
             if packed is None:
-                cut[chunk] = _WORDS.findall(chunk)
+                # A word that is a chunk shares its string.
+                cut[chunk] = [chunk] if chunk.isalpha() else _WORDS.findall(chunk)
             else:
                 known[chunk] = packed
         if len(self._words) > CACHED_WORDS:
-            self._words, self._old_words = {}, self._words
+            self._words, self._old_words = {}, _bounded(self._words, CACHED_WORDS)
         words, old = self._words, self._old_words
         new = []
         for word in {word for each in cut.values() for word in each}.difference(words):
@@ -84,11 +92,32 @@ class WordIds:
                 new.append(word)
             else:
                 words[word] = packed
-        for word, made in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            ids = made.ids
-            words[word] = struct.pack(f"<{len(ids)}I", *ids)
+        words.update(zip(new, self._encoded(new), strict=True))
         for chunk, each in cut.items():
             known[chunk] = words[each[0]] if len(each) == 1 else b"".join([words[word] for word in each])
+        for word in new:
+            if len(word) > LONGEST_CACHED:
+                del words[word]
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word. One text of all words costs less than a result for each."""
+        if not words:
+            return []
+        ids = self._tokenizer.encode_batch_fast([f" {BETWEEN} ".join(words)], add_special_tokens=False)[0].ids
+        if ids.count(self._between) != len(words) - 1:
+            made = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
+            return [struct.pack(f"<{len(m.ids)}I", *m.ids) for m in made]
+        packed, found, at = struct.pack(f"<{len(ids)}I", *ids), [], 0
+        for _ in words[1:]:
+            end = ids.index(self._between, at)
+            found.append(packed[4 * at : 4 * end])
+            at = end + 1
+        return [*found, packed[4 * at :]]
+
+
+def _bounded(full: dict[str, bytes], most: int) -> dict[str, bytes]:
+    """The full generation as the older one, or none if a single text has filled it far beyond."""
+    return full if len(full) <= 2 * most else {}
 
 
 _LOADED: dict[str, WordIds] = {}

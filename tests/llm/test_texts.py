@@ -115,6 +115,21 @@ def test_word_caches_of_bounded_size_change_nothing(documents, monkeypatch):
         assert small.packed(row.text) == struct.pack(f"<{len(ids)}I", *ids)
 
 
+def test_word_caches_stay_small_after_texts_of_many_or_endless_words(monkeypatch):
+    monkeypatch.setattr(words, "CACHED_CHUNKS", 50)
+    monkeypatch.setattr(words, "CACHED_WORDS", 40)
+    small, library = words.WordIds(WORDS), Tokenizer.from_file(WORDS)
+    names = ["".join(chr(97 + n // 26**k % 26) for k in range(3)) for n in range(3000)]
+    texts = ["x" * 50_000 + " 0 7", " ".join(names), *(" ".join(names[n : n + 20]) + " 0, it's 0" for n in range(0, 400, 20))]
+    for number, text in enumerate(texts):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert small.packed(text) == struct.pack(f"<{len(ids)}I", *ids), text
+        caches = [small._chunks, small._old_chunks, small._words, small._old_words]
+        assert max((len(word) for cache in caches for word in cache), default=0) <= words.LONGEST_CACHED
+        # What the text of many words has filled is given up by the next.
+        assert number == 1 or max(map(len, caches)) <= 150
+
+
 def brute_scan(text):
     found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     places, labels = [], set()
