@@ -227,8 +227,8 @@ def token_pieces(
         def work(keys: list, texts: list) -> list[list]:
             nonlocal uid
             rows = []
-            for key, text in zip(keys, texts, strict=True):
-                ids = words.packed(text or "") + end
+            for key, packed in zip(keys, words.packed_all([text or "" for text in texts]), strict=True):
+                ids = packed + end
                 for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
                     part = ids[4 * start : 4 * (start + capacity)]
                     rows.append((uid, key, piece, start, len(part) // 4, zlib.crc32(part)))

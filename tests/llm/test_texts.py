@@ -130,6 +130,22 @@ def test_word_caches_stay_small_after_texts_of_many_or_endless_words(monkeypatch
         assert number == 1 or max(map(len, caches)) <= 150
 
 
+def test_texts_packed_together_ask_the_library_once_for_each_word(documents, monkeypatch):
+    library, fast = Tokenizer.from_file(WORDS), words.WordIds(WORDS)
+    asked, encoded = [], fast._encoded
+    monkeypatch.setattr(fast, "_encoded", lambda some: asked.append(sorted(some)) or encoded(some))
+    texts = [r.text for r in documents.limit(60).collect()] + ["", " \xa0", "naïve naïve, (naïve)", "_a1 a_ 'sun''s !'t"] + mixed(6)
+    texts += ["".join(map(chr, range(0x20, 0x180))), "x" * 100, " ".join(["y" * 100, "z"] * 3), *ODD]
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert fast.packed_all(texts) == [struct.pack(f"<{len(ids)}I", *ids) for ids in want]
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0])) > 100
+    monkeypatch.setattr(words, "BATCH", 2000)
+    assert fast.packed_all(texts[::-1]) == [struct.pack(f"<{len(ids)}I", *ids) for ids in want[::-1]]
+    again = [word for some in asked[1:] for word in some]
+    assert again and all(len(word) > words.LONGEST_CACHED for word in again)
+    assert fast.packed_all([]) == []
+
+
 def brute_scan(text):
     found = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     places, labels = [], set()
