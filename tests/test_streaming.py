@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import time
 from datetime import datetime
 from pathlib import Path
@@ -13,6 +14,7 @@ from fareline import schemas as S
 from fareline.operators.quality import TableTests, SuiteFailed, require_passing, run_tests
 from fareline.plans.enrich import rides_enriched
 from fareline.plans.staging import live_rides, staged
+from fareline.session import SHUFFLE_CLEANUP
 from fareline.sources.kafka import bronze_rides
 from fareline.sources.tables import create_namespaces
 from fareline.streaming import flows
@@ -288,6 +290,45 @@ def test_a_batch_reads_its_files_once(spark, root, tmp_path):
     assert [r.id for r in trips.read(spark).collect()] == [1]
 
 
+def test_a_batch_of_files_is_held_compressed_and_let_go(spark, root, tmp_path):
+    """Held as Spark caches it, it would take the room of its text in memory or on the executors' disks."""
+    folder = tmp_path / "trips"
+    folder.mkdir()
+    text = "".join(json.dumps({"id": n, "vehicle_model": "Corolla", "vehicle_color": "Black"}) + "\n" for n in range(5000))
+    (folder / "1.json").write_text(text)
+    trips = flows.FileTable(f"{root}/bronze/trips", str(folder))
+    grown, seen = flows.FileTable._grown, []
+
+    def look(self, lines):
+        held = sum(p.stat().st_size for p in Path(root, "bronze", "trips", "held").rglob("*.parquet"))
+        seen.append((len(spark.sparkContext._jsc.getPersistentRDDs()), held))
+        return grown(self, lines)
+
+    cached = len(spark.sparkContext._jsc.getPersistentRDDs())
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(flows.FileTable, "_grown", look)
+        trips.start(spark).awaitTermination()
+    ((held_in_cache, held),) = seen
+    assert held_in_cache == cached and 0 < held < len(text) / 2
+    assert not list(Path(root, "bronze", "trips", "held").iterdir())
+    assert trips.read(spark).count() == 5000
+
+
+def test_shuffle_files_of_a_flow_go_with_its_batches(spark, topic, root):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return set(re.findall(r"/shuffle_(\d+)_", files.mkString(" ")))
+
+    usual = spark.conf.get(SHUFFLE_CLEANUP, None)
+    before = shuffles()
+    topic.send(("a", "10:00"), ("a", "10:01"), ("b", "10:02"))
+    to_bronze(topic, root)
+    to_staging(spark, root)
+    assert staged_ids(spark, root) == ["a", "b"]
+    wait_until(lambda: not shuffles() - before, seconds=20)
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == usual
+
+
 def test_one_flow_is_reset_and_replayed(spark, topic, root, tmp_path):
     folder = tmp_path / "bulk"
     folder.mkdir()

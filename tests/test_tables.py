@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fareline.operators.upsert import merge_into
 from fareline.operators.upsert import table_changes
+from fareline.sources import storage, tables
 from fareline.sources.json_files import bronze_files, evolve, infer_schema, parse, read_lines, variant_fields
 from fareline.sources.landing import land, landed_files, landed_folder, read_manifest
 from fareline.sources.tables import KeyedTable, create_namespaces, rebuild, rebuild_table
@@ -80,6 +81,25 @@ def test_a_first_load_isnt_staged(spark, rows, table):
     assert not Path(table.root, "batch").exists()
 
 
+def test_a_first_load_compares_rows_of_repeated_keys_only(spark, rows, table, monkeypatch):
+    """Rows without a key count as one key, here and among those compared."""
+    compared = []
+
+    def spy(batch, key, newest):
+        compared.append(batch.count())
+        return keep(batch, key, newest)
+
+    keep = tables.keep_newest
+    monkeypatch.setattr(tables, "keep_newest", spy)
+    unnamed = [(None, date(2025, 4, 3), fare, T0 + timedelta(days=day)) for fare, day in ((5.0, 1), (6.0, 2))]
+    batch = [ride("a", 1, 1.0), ride("a", 2, 2.0, 5), ride("b", 2, 3.0), ride("c", 2, 4.0), *unnamed]
+    assert table.merge(rows(batch, DDL)) == 4 and compared == [4]
+    assert content(table, spark) == {"a": (2, 2.0), "b": (2, 3.0), "c": (2, 4.0), None: (4, 6.0)}
+    other = KeyedTable(f"{table.root}-2", "ride_id", "date_key", ("seen",))
+    assert other.merge(rows(batch[2:5], DDL)) == 3 and compared == [4]
+    assert not Path(table.root, "repeated").exists() and not Path(other.root, "repeated").exists()
+
+
 def test_a_merge_cut_short_is_healed_by_its_repetition(spark, rows, table, monkeypatch):
     """The moved row has been written, its old month not yet removed."""
     table.merge(rows([ride("a", 1, 1.0), ride("b", 2, 2.0)], DDL))
@@ -276,6 +296,18 @@ def test_landing_twice_writes_changed_files_only(spark, tmp_path):
     assert {r.file_name: r.lines for r in landed_files(spark, raw).collect()} == {"a.json": 2, "b.json": 2, "parts": 2}
 
 
+def test_landed_lines_are_compressed_in_parts_of_bounded_length(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "PART_LINES", 300)
+    files, raw = tmp_path / "files", str(tmp_path / "raw")
+    files.mkdir()
+    lines = [json.dumps({"n": n, "vehicle_model": "Corolla", "vehicle_color": "Black"}) for n in range(1000)]
+    (files / "bulk.json").write_text("\n".join(lines))
+    land(spark, rows([("all", "bulk.json")], "folder_name string, file_name string"), str(files), raw)
+    parts = list(Path(landed_folder(raw, "all")).rglob("part-*"))
+    assert len(parts) >= 4 and sum(p.stat().st_size for p in parts) < (files / "bulk.json").stat().st_size / 2
+    assert sorted(r.value for r in read_lines(spark, landed_folder(raw, "all")).collect()) == sorted(lines)
+
+
 def test_landing_a_missing_file_fails(spark, rows, tmp_path):
     manifest = rows([("a", "nowhere.json")], "folder_name string, file_name string")
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
