@@ -95,6 +95,19 @@ def test_end_to_end_keeps_its_tables_in_little_room(spark, tmp_path, kept):
     assert 0 < room(kept / "end-to-end" / "bronze" / "rides_raw") < text / 3
 
 
+def test_landing_again_keeps_its_files_in_little_room(spark, tmp_path, kept):
+    sf_dir = odd_orders(spark, tmp_path / "tables")
+    found = {(r.file_name, r.vehicle_color): r.rows for r in QUERIES["landing_again"](spark, sf_dir).collect()}
+    lines = queries.bulk_lines(silver_rides(spark, sf_dir)).cache()
+    sizes = {f"rides_{r.part}.json": r["count"] for r in lines.groupBy((F.col("k") % 3).alias("part")).count().collect()}
+    assert found == {(name, "Black"): size for name, size in sizes.items()} | {("rides_1.json", "Blue"): sizes["rides_1.json"]}
+    text = lines.agg(F.sum(F.length("value"))).first()[0]
+    lines.unpersist()
+    assert {path.name for path in kept.iterdir()} == {"landing-again"}
+    assert 0 < room(kept / "landing-again" / "files") < text / 3
+    assert 0 < room(kept / "landing-again" / "raw" / "folder_name=bulk_rides") < text / 3
+
+
 @pytest.mark.parametrize("absent", ["fareline.llm", "corpus_pipeline", "ahocorasick"])
 def test_the_rest_goes_on_without_the_training_data_operators(absent):
     """In a process of its own, where the module, or one that only they need, can't be imported."""
